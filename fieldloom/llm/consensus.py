@@ -89,7 +89,7 @@ class Consensus:
         packed = votes.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct("reader", "lev", "v"))).alias("rs")).filter(F.size("rs") > 1)
         values = F.col("rs.v")
         pattern = F.transform("rs", lambda r: F.struct(r["reader"].alias("reader"), r["lev"].alias("lev"), F.array_position(values, r["v"]).cast("int").alias("c")))
-        self.items = scratch.write(packed.select(*keys, pattern.alias("p")))
+        self.items = scratch.write(packed.select(*keys, pattern.alias("p"), values.alias("vs")))
         self.patterns = scratch.write(self.items.groupBy("g", "p").agg(F.count("*").alias("n")))
         kinds = votes.groupBy("g").agg(F.approx_count_distinct("v").alias("k"))
         self.spread = scratch.write(kinds.select("g", F.log(F.greatest(F.lit(1), F.least(F.lit(SPREAD), F.col("k") - 1)).cast("double")).alias("spread")), 1)
@@ -159,10 +159,13 @@ class Consensus:
         return s.write(acc.select("g", "reader", "accuracy", F.col("votes").cast("double").alias("votes")), 1), shifts, n
 
     def decided(self) -> DataFrame:
-        """group, item..., p, winner (the cluster of the consensus)."""
+        """group, item..., v (the consensus), votes, votes_for."""
         d = self._weighted(self.patterns, self.reliability, self.levels)
         d = self.scratch.write(d.select("g", "p", self._winner(F.col("p"), F.col("w")).alias("winner")))
-        return self.items.join(small_side(d), ["g", "p"]).select(F.col("g").alias(self.group), *self.item, "p", "winner")
+        known = self.items.join(small_side(d), ["g", "p"])
+        votes_for = F.size(F.filter("p", lambda r: r["c"] == F.col("winner")))
+        # a cluster is named by the place of the first vote for its value
+        return known.select(F.col("g").alias(self.group), *self.item, F.element_at("vs", F.col("winner")).alias("v"), F.size("p").alias("votes"), votes_for.alias("votes_for"))
 
     def dissent(self) -> DataFrame:
         """group, item..., reader of each vote that is not the consensus. Only patterns with more than one value are joined back."""
