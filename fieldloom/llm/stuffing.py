@@ -7,6 +7,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,10 @@ LINK = re.compile(
     r"|\b[\w-]{1,60} dot \w{2,12}(?: slash \S*)?",
     re.I,
 )
+#: What every link holds; texts without it need no search for links.
+LINKISH = re.compile(r"\.[a-z]{2}|www\.|://| dot ", re.I)
+#: Words with a figure, but for hash tags, in words parted by single spaces.
+FIGURE = re.compile(r"(?<!\S)(?!#)\S*\d")
 MARKUP = re.compile(r"<[^<>]{0,500}>")
 END = re.compile(r"[.!?…。！？]+[\"”»')\]]*(?=\s|$)")
 WORD = re.compile(r"[^\s|•·»«,;:()\[\]{}\"“”]*\w[^\s|•·»«,;:()\[\]{}\"“”]*")
@@ -92,15 +97,17 @@ def measure(parts: list[str], is_sentences: bool) -> dict:
     figures: part of words with digits; same: part of different words, each different sentence taken once; links: part of characters in links and markup."""
     text = "\n".join(parts)
     n = len("".join(text.split()))
-    bare = LINK.sub(" ", MARKUP.sub(" ", text) if "<" in text else text)
-    words = [w.lower() for w in WORD.findall(bare)]
-    kept = " ".join(words).encode("utf-8", "replace")
+    bare = MARKUP.sub(" ", text) if "<" in text else text
+    bare = LINK.sub(" ", bare) if LINKISH.search(bare) else bare
+    words = WORD.findall(bare.lower())
+    line = " ".join(words)
+    kept = line.encode("utf-8", "replace")
     said = sentences(bare)
     once = dict.fromkeys(s.lower() for s in said)
     different = WORD.findall(" ".join(once)) if once else words
     return {
         "sentences": is_sentences, "n": n, "bytes": len(kept), "ratio": max(0, len(zlib.compress(kept, 6)) - 8) / len(kept) if kept else 0.0,
-        "ends": len(said) / max(1, len(words)), "figures": sum(w[0] != "#" and any(c.isdigit() for c in w) for w in words) / max(1, len(words)),
+        "ends": len(said) / max(1, len(words)), "figures": len(FIGURE.findall(line)) / max(1, len(words)),
         "same": len(set(different)) / max(1, len(different)), "links": 1 - len("".join(bare.split())) / max(1, n),
     }
 
@@ -128,10 +135,14 @@ def measured_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     schema = T.StructType([docs.schema[id_col], T.StructField("lang", T.StringType()), T.StructField("blocks", kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = to_arrow_type(kind)
+        fields = list(to_arrow_type(kind).value_type)
         for b in batches:
             for at in range(0, b.num_rows, 1000):
-                made = pa.array([blocks(t) for t in b.column(2).slice(at, 1000).to_pylist()], type=arrow)
+                of = [blocks(t) for t in b.column(2).slice(at, 1000).to_pylist()]
+                flat = [x for bs in of for x in bs]
+                columns = [pa.array([x[f.name] for x in flat], type=f.type) for f in fields]
+                ends = np.concatenate([[0], np.cumsum([len(bs) for bs in of])]).astype(np.int32)
+                made = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, fields=fields))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, 1000), b.column(1).slice(at, 1000), made], names=schema.names)
 
     lang = F.coalesce(F.nullif(F.lower(F.trim(lang_col)), F.lit("")), F.lit("und"))
