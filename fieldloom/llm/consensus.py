@@ -15,6 +15,8 @@ PRIOR, PRIOR_N = 0.9, 10.0
 TOP = 0.995
 #: Upper bounds of the classes of confidence.
 LEVELS = (0.65, 0.75, 0.85)
+#: Readers up to which each gets a column of its own when votes are brought together.
+WIDE = 8
 #: Other values that a wrong reading is taken to be spread over, at most.
 SPREAD = 10
 #: Largest change of an accuracy between two rounds at which they stop, and most rounds.
@@ -41,12 +43,13 @@ def _folded(s):
 
 
 def _notation(c: Column, field: Column) -> Column:
-    """Dates of the four notations in one, a spelt-out sex as its letter; c: folded."""
-    us = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$"
-    date = F.concat_ws("-", F.regexp_extract(c, us, 3), F.lpad(F.regexp_extract(c, us, 1), 2, "0"), F.lpad(F.regexp_extract(c, us, 2), 2, "0"))
+    """Dates of the four notations in one, a spelt-out sex as its letter; c: folded. Only values of a date's length are matched, and only matching ones taken apart."""
+    t = F.translate(c, "/", "-")
+    month, day = F.substring_index(t, "-", 1), F.substring_index(F.substring_index(t, "-", 2), "-", -1)
+    date = F.concat_ws("-", F.right(t, F.lit(4)), F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+    us = F.length(c).between(8, 10) & c.rlike(r"^\d{1,2}[/-]\d{1,2}[/-]\d{4}$")
     sexes = F.create_map(*[F.lit(x) for kv in SEXES.items() for x in kv])
-    # only values that begin like a date are taken apart
-    return F.when(c.rlike(us), date).when(field == "sex", F.coalesce(F.try_element_at(sexes, c), c)).otherwise(c)
+    return F.when(us, date).when(field == "sex", F.coalesce(F.try_element_at(sexes, c), c)).otherwise(c)
 
 
 def comparable(df: DataFrame, value: str, field: str, name: str = "v") -> DataFrame:
@@ -72,7 +75,10 @@ class Consensus:
     """Consensus over items (group, item) read by readers.
 
     votes: group, item (any columns named in item), reader, v (comparable value, not null), lev (class of confidence). Repeated rows count once; if a reader gives
-    several values for an item each is a vote. Items with fewer than two votes have no consensus of their own but count for the agreement of nothing.
+    several values for an item, the one with the largest 64-bit hash counts. Items with fewer than two votes have no consensus of their own. Null groups and items are groups and items of their own.
+
+    Values of an item are compared by their 64-bit hashes, so the votes are brought together as numbers, in a hash aggregate with a column a reader
+    (for up to WIDE readers, else in lists); two different values of one item would have to share a hash, at 5e-20 a pair, to be taken for one.
 
     The readings of an item are reduced to a pattern: who read, with which class of confidence, and who agrees with whom. Items of a
     group with equal patterns are counted, and the rounds run over patterns only, which are exact for the items and far fewer: with four readers
@@ -80,18 +86,44 @@ class Consensus:
     and each reader its accuracy: how often it agrees with the consensus of the others (its own vote left out), for as often as that consensus is likely
     to be right, smoothed towards PRIOR; likewise each class of confidence over all groups. Rounds end when no accuracy moves by more than STILL."""
 
-    def __init__(self, votes: DataFrame, group: str, item: list[str]):
+    def __init__(self, votes: DataFrame, group: str, item: list[str], readers: list[str] | None = None, values: bool = False):
+        """readers: all readers there are, if known; else they are looked up. values: keep what decided() needs."""
         spark = votes.sparkSession
         self.group, self.item = group, item
         self.scratch = scratch = Scratch(spark, "consensus")
-        votes = votes.select(F.col(group).alias("g"), *[F.col(c) for c in item], F.col("reader").cast("string").alias("reader"), "v", F.col("lev").cast("int").alias("lev"))
         keys = ["g", *item]
-        packed = votes.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct("reader", "lev", "v"))).alias("rs")).filter(F.size("rs") > 1)
-        values = F.col("rs.v")
-        pattern = F.transform("rs", lambda r: F.struct(r["reader"].alias("reader"), r["lev"].alias("lev"), F.array_position(values, r["v"]).cast("int").alias("c")))
-        self.items = scratch.write(packed.select(*keys, pattern.alias("p"), values.alias("vs")))
-        self.patterns = scratch.write(self.items.groupBy("g", "p").agg(F.count("*").alias("n")))
-        kinds = votes.groupBy("g").agg(F.approx_count_distinct("v").alias("k"))
+        self._votes = votes.select(F.col(group).alias("g"), *item, F.col("reader").cast("string").alias("reader"), F.xxhash64("v").alias("h"), F.col("lev").cast("int").alias("lev"), "v")
+        if readers is None:
+            readers = [x[0] for x in votes.select(F.col("reader").cast("string")).filter("reader is not null").distinct().limit(WIDE + 1).collect()]
+        readers = sorted(readers)
+        struct = "struct<reader string, lev int, c int>"
+        # a pattern's code is what items are grouped and joined by; p, its votes, is made from the code for each different pattern only. A cluster is named by the place of its first vote.
+        if len(readers) <= WIDE:
+            one = [F.max(F.when(F.col("reader") == r, F.col(c))).alias(f"__{c}{i}") for i, r in enumerate(readers) for c in ("h", "lev")]
+            packed = self._votes.groupBy(*keys).agg(*(one or [F.count("*").alias("__none")]))
+            hs = [F.col(f"__h{i}") for i in range(len(readers))]
+            first = lambda i: F.coalesce(*[F.when(hs[j] == hs[i], F.lit(f".{j + 1}")) for j in range(i + 1)])
+            code = F.concat_ws("|", *[F.when(h.isNotNull(), F.concat(F.lit(f"{i}."), F.col(f"__lev{i}").cast("string"), first(i))) for i, h in enumerate(hs)])
+            n = sum((F.when(h.isNotNull(), 1).otherwise(0) for h in hs), F.lit(0))
+            differ = F.least(*hs) != F.greatest(*hs) if len(hs) > 1 else F.lit(False)
+            clusters, some = F.array(*hs), F.coalesce(*hs, F.lit(0))
+            names = F.array(*[F.lit(r) for r in readers]) if readers else F.array().cast("array<string>")
+            part = lambda x, k: F.get(F.split(x, "[.]"), F.lit(k)).cast("int")
+            parse = F.transform(F.split("code", "[|]"), lambda x: F.struct(F.get(names, part(x, 0)).alias("reader"), part(x, 1).alias("lev"), part(x, 2).alias("c")))
+        else:
+            of_reader = self._votes.filter("reader is not null").groupBy(*keys, "reader").agg(F.max("lev").alias("lev"), F.max("h").alias("h"))
+            packed = of_reader.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("reader", "lev", "h"))).alias("__rs"))
+            clusters = F.col("__rs.h")
+            code = F.to_json(F.transform("__rs", lambda r: F.struct(r["reader"].alias("reader"), r["lev"].alias("lev"), F.array_position(clusters, r["h"]).cast("int").alias("c"))))
+            some = F.get(clusters, F.lit(0))
+            n, differ = F.size("__rs"), F.array_min(clusters) != F.array_max(clusters)
+            parse = F.from_json("code", f"array<{struct}>")
+        kept = packed.filter(n > 1)
+        extra = [clusters.alias("hs")] if values else []
+        # as a struct a null group equals itself in joins
+        self.items = scratch.write(kept.select(F.struct("g").alias("g"), *item, code.alias("code"), differ.alias("differ"), F.pmod(some, F.lit(1 << 20)).cast("int").alias("some"), *extra))
+        self.patterns = scratch.write(self.items.groupBy("g", "code").agg(F.count("*").alias("n")).select("g", "code", "n", parse.cast(f"array<{struct}>").alias("p")))
+        kinds = self.items.groupBy("g").agg(F.approx_count_distinct("some").alias("k"))
         self.spread = scratch.write(kinds.select("g", F.log(F.greatest(F.lit(1), F.least(F.lit(SPREAD), F.col("k") - 1)).cast("double")).alias("spread")), 1)
         self.few_groups = self.spread.count() <= BROADCAST_ROWS
         self.reliability, self.levels, self.rounds = self._rounds()
@@ -158,28 +190,30 @@ class Consensus:
                 break
         return s.write(acc.select("g", "reader", "accuracy", F.col("votes").cast("double").alias("votes")), 1), shifts, n
 
+    def _winners(self, patterns: DataFrame) -> DataFrame:
+        d = self._weighted(patterns, self.reliability, self.levels)
+        return d.select("g", "code", "p", self._winner(F.col("p"), F.col("w")).alias("winner"))
+
     def decided(self) -> DataFrame:
         """group, item..., v (the consensus), votes, votes_for."""
-        d = self._weighted(self.patterns, self.reliability, self.levels)
-        d = self.scratch.write(d.select("g", "p", self._winner(F.col("p"), F.col("w")).alias("winner")))
-        known = self.items.join(small_side(d), ["g", "p"])
         votes_for = F.size(F.filter("p", lambda r: r["c"] == F.col("winner")))
-        # a cluster is named by the place of the first vote for its value
-        return known.select(F.col("g").alias(self.group), *self.item, F.element_at("vs", F.col("winner")).alias("v"), F.size("p").alias("votes"), votes_for.alias("votes_for"))
+        d = self.scratch.write(self._winners(self.patterns).select("g", "code", "winner", F.size("p").alias("votes"), votes_for.alias("votes_for")))
+        known = self.items.join(small_side(d), ["g", "code"]).select("g.g", *self.item, F.element_at("hs", F.col("winner")).alias("h"), "votes", "votes_for")
+        keys = ["g", *self.item, "h"]
+        values = self._votes.groupBy(*keys).agg(F.min("v").alias("v"))
+        on = [known[k].eqNullSafe(values[k]) for k in keys]
+        return known.join(values, on).select(known["g"].alias(self.group), *[known[c] for c in self.item], values["v"], "votes", "votes_for")
 
     def dissent(self) -> DataFrame:
-        """group, item..., reader of each vote that is not the consensus. Only patterns with more than one value are joined back."""
-        split = self.patterns.filter(F.array_max(F.transform("p", lambda r: r["c"])) > 1)
-        d = self._weighted(split, self.reliability, self.levels)
+        """group, item..., reader of each vote that is not the consensus. Only items with more than one value are joined back."""
+        d = self._winners(self.patterns.filter(F.array_max(F.transform("p", lambda r: r["c"])) > F.array_min(F.transform("p", lambda r: r["c"]))))
         against = F.filter("p", lambda r: r["c"] != F.col("winner"))
-        d = d.select("g", "p", self._winner(F.col("p"), F.col("w")).alias("winner"))
-        d = self.scratch.write(d.select("g", "p", F.transform(against, lambda r: r["reader"]).alias("readers")))
-        items = self.items.filter(F.array_max(F.transform("p", lambda r: r["c"])) > 1)
-        return items.join(small_side(d), ["g", "p"]).select(F.col("g").alias(self.group), *self.item, F.explode("readers").alias("reader"))
+        d = self.scratch.write(d.select("g", "code", F.transform(against, lambda r: r["reader"]).alias("readers")))
+        return self.items.filter("differ").join(small_side(d), ["g", "code"]).select(F.col("g.g").alias(self.group), *self.item, F.explode("readers").alias("reader"))
 
     def reliabilities(self) -> DataFrame:
         """group, reader, accuracy (smoothed, leave-one-out), votes."""
-        return self.reliability.select(F.col("g").alias(self.group), "reader", "accuracy", F.col("votes").cast("long").alias("votes"))
+        return self.reliability.select(F.col("g.g").alias(self.group), "reader", "accuracy", F.col("votes").cast("long").alias("votes"))
 
 
 def _log_odds(a: float) -> float:
@@ -201,7 +235,7 @@ def agreement(votes: DataFrame, group: str, item: list[str]) -> DataFrame:
     expected = values.groupBy(group).agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs"))
     n = F.col("votes").cast("double")
     do, de = 1 - F.col("same") / n, 1 - F.col("pairs") / (n * (n - 1))
-    return observed.join(expected, group).select(group, "items", "votes", (1 - do).alias("observed"), F.when(de > 0, 1 - do / de).alias("alpha"))
+    return observed.join(expected.withColumnRenamed(group, "__g"), F.col(group).eqNullSafe(F.col("__g"))).select(group, "items", "votes", (1 - do).alias("observed"), F.when(de > 0, 1 - do / de).alias("alpha"))
 
 
 def domain_votes(attempts: DataFrame) -> DataFrame:
@@ -210,6 +244,12 @@ def domain_votes(attempts: DataFrame) -> DataFrame:
     return comparable(a, "value", "field_name").select("doc_id", "field_name", "reader", "v", level(F.col("confidence")).alias("lev"))
 
 
+def domain_consensus(attempts: DataFrame, values: bool = False) -> Consensus:
+    """The consensus of the form fields' readers, that is tiers; a tier is looked up in its column alone."""
+    tiers = [x[0] for x in attempts.select(F.col("tier").cast("string").alias("t")).filter("t is not null").distinct().limit(WIDE + 1).collect()]
+    return Consensus(domain_votes(attempts), "field_name", ["doc_id"], tiers, values)
+
+
 def misreadings(attempts: DataFrame) -> DataFrame:
     """doc_id, field_name, tier of each non-null reading that is not the consensus of its item, as distinct rows; items with fewer than two readings have none."""
-    return Consensus(domain_votes(attempts), "field_name", ["doc_id"]).dissent().select("doc_id", "field_name", F.col("reader").alias("tier")).distinct()
+    return domain_consensus(attempts).dissent().select("doc_id", "field_name", F.col("reader").alias("tier")).distinct()

@@ -63,20 +63,16 @@ def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return mapping.unmatched(table(spark, d, "correction_outcomes"), table(spark, d, "alias_dictionary"))
 
 
-def _consensus(spark: SparkSession, d: str) -> consensus.Consensus:
-    return consensus.Consensus(consensus.domain_votes(table(spark, d, "field_attempts")), "field_name", ["doc_id"])
-
-
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return consensus.misreadings(table(spark, d, "field_attempts"))
 
 
 def p5_consensus(spark: SparkSession, d: str) -> DataFrame:
-    return _consensus(spark, d).decided()
+    return consensus.domain_consensus(table(spark, d, "field_attempts"), values=True).decided()
 
 
 def p5_reliability(spark: SparkSession, d: str) -> DataFrame:
-    return _consensus(spark, d).reliabilities()
+    return consensus.domain_consensus(table(spark, d, "field_attempts")).reliabilities()
 
 
 def p5_agreement(spark: SparkSession, d: str) -> DataFrame:
