@@ -62,13 +62,20 @@ def similarity_join(left: DataFrame, right: DataFrame, t: float, scratch: Scratc
     ranks = scratch.write(both.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("df")))
     lo = scratch.write(by_rarity(left, "l", ranks).select("l", "toks", F.size("toks").alias("nl")))
     ro = scratch.write(by_rarity(right, "r", ranks).select("r", "toks", F.size("toks").alias("nr")))
-    head = lambda n: F.slice(F.col("toks"), 1, F.greatest(F.lit(0), n - F.ceil(n * t - F.lit(1e-9)).cast("int") + 1))
-    lp = lo.select("l", "nl", F.posexplode(head(F.col("nl"))).alias("i", "tok"))
-    rp = scratch.write(ro.select("r", "nr", F.posexplode(head(F.col("nr"))).alias("j", "tok")))
+    size = lambda n: F.greatest(F.lit(0), n - F.ceil(n * t - F.lit(1e-9)).cast("int") + 1)
+    head = lambda d, key, n, last, i: d.withColumn("h", F.slice("toks", 1, size(F.col(n)))).select(key, n, F.element_at("h", -1).alias(last), F.posexplode("h").alias(i, "tok"))
+    # with the sets themselves laid out by l, which is distinct, what is counted a pair needs no shuffle of pairs
+    spark = left.sparkSession
+    lo = lo.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "l")
+    lp = head(lo.filter("nl > 0"), "l", "nl", "ll", "i")
+    rp = scratch.write(head(ro.filter("nr > 0"), "r", "nr", "lr", "j"))
     need = F.ceil((F.col("nl") + F.col("nr")) * (t / (1 + t)) - F.lit(1e-9))
-    pairs = lp.join(small_side(rp), "tok").filter((F.col("nr") >= F.col("nl") * t - 1e-9) & (F.col("nl") >= F.col("nr") * t - 1e-9) & (1 + F.least(F.col("nl") - F.col("i"), F.col("nr") - F.col("j")) - 1 >= need))
-    found = pairs.groupBy("l").agg(F.collect_set("r").alias("rs"))  # at most the reference list
-    full = found.join(lo, "l").select("l", "nl", F.col("toks.t").alias("lt"), F.explode("rs").alias("r"))
+    pairs = lp.join(small_side(rp), "tok").filter((F.col("nr") >= F.col("nl") * t - 1e-9) & (F.col("nl") >= F.col("nr") * t - 1e-9))
+    # where one head ends before the other, none of its tokens is in the rest of the other set: the overlap is what the heads share and at most the rest of its own set
+    met = pairs.withColumn("rest", F.when(F.col("ll") <= F.col("lr"), F.col("nl") - size(F.col("nl"))).otherwise(F.col("nr") - size(F.col("nr"))))
+    met = met.groupBy("l", "r").agg(F.count("*").alias("m"), F.first("rest").alias("rest"), F.first(need).alias("need"), F.least(F.first("nl") - F.min("i"), F.first("nr") - F.min("j")).alias("upto"))
+    found = met.filter((F.col("upto") >= F.col("need")) & (F.col("m") + F.col("rest") >= F.col("need"))).select("l", "r")
+    full = found.join(lo, "l").select("l", "nl", F.col("toks.t").alias("lt"), "r")
     full = full.join(small_side(ro.select("r", "nr", F.col("toks.t").alias("rt"))), "r")
     common = F.size(F.array_intersect("lt", "rt"))
     return full.select("l", "r", (common / (F.col("nl") + F.col("nr") - common)).alias("jaccard")).filter(F.col("jaccard") >= t - 1e-12)
