@@ -21,9 +21,13 @@ FIRST_DAY, LAST_DAY = "1900-01-01", "2100-12-31"
 SPLIT_SALT = "intake-v1"
 
 
+#: White space of any kind.
+SPACE = r"[\s\p{Z}]+"
+
+
 def squeezed(c: Column) -> Column:
     """Lower case, white space runs as one space, trimmed; null where nothing is left. Built in; for text that needs NFKC use folded()."""
-    return F.nullif(F.trim(F.regexp_replace(F.lower(c), r"[\s ]+", " ")), F.lit(""))
+    return F.nullif(F.trim(F.regexp_replace(F.translate(F.lower(c), "ς", "σ"), SPACE, " ")), F.lit(""))
 
 
 @F.pandas_udf(T.StringType())
@@ -34,7 +38,7 @@ def folded(s: pd.Series) -> pd.Series:
 
 def iso_date(c: Column) -> Column:
     """yyyy-MM-dd of a date written M/D/YYYY, YYYY-MM-DD or M-D-YYYY; null for anything else."""
-    t = F.trim(c)
+    t = F.trim(F.regexp_replace(c, SPACE, " "))
     d = F.coalesce(F.try_to_date(t, "M/d/yyyy"), F.try_to_date(t, "yyyy-M-d"), F.try_to_date(t, "M-d-yyyy"))
     return F.when(t.rlike(r"^(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4})$"), F.date_format(d, "yyyy-MM-dd"))
 
@@ -59,7 +63,7 @@ def last_first(c: Column) -> tuple[Column, Column]:
 
 def birth_and_sex(c: Column) -> tuple[Column, Column]:
     """(date of birth, sex) of a box with both: the first word, and the last one where it is M, F or U."""
-    w = F.split(F.trim(F.regexp_replace(c, r"[\s ]+", " ")), " ")
+    w = F.split(F.trim(F.regexp_replace(c, SPACE, " ")), " ")
     last = F.upper(F.element_at(w, -1))
     return F.nullif(F.get(w, F.lit(0)), F.lit("")), F.when(last.isin("M", "F", "U"), last)
 
@@ -101,10 +105,14 @@ def finalizes(field: Column, value: Column) -> Column:
     return F.coalesce(verdict(field, value) & ~field.endswith("phone"), F.lit(False))
 
 
+def comparable(c: Column) -> Column:
+    """What two readings are compared by: the day of a date, else the squeezed text."""
+    return F.coalesce(iso_date(c), squeezed(c))
+
+
 def same_reading(a: Column, b: Column) -> Column:
-    """Equality of two readings: dates by their day, else squeezed; a null equals nothing."""
-    norm = lambda c: F.coalesce(iso_date(c), squeezed(c))
-    return F.coalesce(norm(a) == norm(b), F.lit(False))
+    """Equality of two readings; a null equals nothing."""
+    return F.coalesce(comparable(a) == comparable(b), F.lit(False))
 
 
 def patient_key(doc_id: Column) -> Column:

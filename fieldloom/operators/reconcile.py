@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.functions.text import same_reading, verdict
+from fieldloom.functions.text import comparable, same_reading, verdict
 
 # Gates and the confidences that agreement, a single reading and a disagreement give.
 ESCALATE_BELOW, REVIEW_BELOW = 0.85, 0.80
@@ -17,15 +17,19 @@ def escalates(tier: Column, value: Column, confidence: Column, gate: float = ESC
     return tier.isNull() | F.coalesce(value.isNotNull() & (confidence < gate), F.lit(False))
 
 
+READERS = {"1": "t1", "2": "t2", "3a": "t3"}
+
+
 def by_reader(attempts: DataFrame) -> DataFrame:
-    """doc_id, field_name and, for readers 1, 2 and 3a, value and confidence, and whether each read: one aggregate in place of three joins."""
+    """doc_id, field_name and, for readers 1, 2 and 3a as t1, t2 and t3: value, conf, key (what it is compared by), ok (its rule's verdict) and read. One aggregate in place of three joins; keys and verdicts are made once a reading."""
+    a = attempts.select("doc_id", "field_name", "tier", "value", "confidence").withColumns({"key": comparable(F.col("value")), "ok": verdict(F.col("field_name"), F.col("value"))})
     cols = []
-    for t, name in (("1", "t1"), ("2", "t2"), ("3a", "t3")):
-        mine = F.max(F.when(F.col("tier") == t, F.struct(F.col("value").isNotNull(), "confidence", "value")))
-        cols += [mine.alias(f"_{name}"), F.max(F.when(F.col("tier") == t, True)).alias(f"{name}_read")]
-    g = attempts.groupBy("doc_id", "field_name").agg(*cols)
-    out = g.select("doc_id", "field_name", *[F.col(f"_{n}.value").alias(f"{n}_value") for n in ("t1", "t2", "t3")], *[F.col(f"_{n}.confidence").alias(f"{n}_conf") for n in ("t1", "t2", "t3")], *[F.coalesce(F.col(f"{n}_read"), F.lit(False)).alias(f"{n}_read") for n in ("t1", "t2", "t3")])
-    return out
+    for t, n in READERS.items():
+        mine = F.struct(F.col("value").isNotNull(), "confidence", "value", "key", "ok")
+        cols += [F.max(F.when(F.col("tier") == t, mine)).alias(n), F.max(F.when(F.col("tier") == t, True)).alias(f"{n}_read")]
+    g = a.groupBy("doc_id", "field_name").agg(*cols)
+    out = [F.col(f"{n}.{c}").alias(f"{n}_{k}") for n in READERS.values() for c, k in (("value", "value"), ("confidence", "conf"), ("key", "key"), ("ok", "ok"))]
+    return g.select("doc_id", "field_name", *out, *[F.coalesce(F.col(f"{n}_read"), F.lit(False)).alias(f"{n}_read") for n in READERS.values()])
 
 
 def route(wide: DataFrame, covered: list[str] | None = None) -> DataFrame:
@@ -33,32 +37,35 @@ def route(wide: DataFrame, covered: list[str] | None = None) -> DataFrame:
 
     covered: fields that reader 1 can read; None for all."""
     is_covered = F.lit(True) if covered is None else F.col("field_name").isin(covered)
-    agree = same_reading(F.col("t1_value"), F.col("t2_value"))
-    return wide.withColumn("route", F.when(~is_covered & F.col("t2_value").isNotNull(), "uncovered").when(agree, "agree").when(F.col("t2_read"), "routed"))
+    return wide.withColumn("route", F.when(~is_covered & F.col("t2_value").isNotNull(), "uncovered").when(F.col("t1_key") == F.col("t2_key"), "agree").when(F.col("t2_read"), "routed"))
 
 
 def reconcile(wide: DataFrame) -> DataFrame:
-    """wide with rule_no, chosen, confidence and reader of each field.
+    """wide with rule_no, chosen, chosen_key, confidence and reader of each field.
 
     F is the running value (reader 2, else 1), S the strongest reader's, A a reading of reader 1 that its validator does not refute.
     1: S says what A says, S at AGREED. 2: all blank and never stamped, blank. 3: both blank. 4: F and S are equal, letter for letter, AGREED. 5: S is blank or F is
     valid by a rule, F at DISPUTED. 6: else S at DISPUTED. 7: after 4 to 6, where A says something else than what was chosen, DISPUTED.
     A field that the strongest reader was not asked for keeps F, as rule 0."""
+    second = F.col("t2_value").isNotNull()
     f, s = F.coalesce("t2_value", "t1_value"), F.col("t3_value")
-    ok = F.coalesce(verdict(F.col("field_name"), F.col("t1_value")), F.lit(True))
-    a = F.when(ok, F.col("t1_value"))
-    f_valid = F.coalesce(verdict(F.col("field_name"), f), F.lit(False))
+    f_key, f_ok = F.when(second, F.col("t2_key")).otherwise(F.col("t1_key")), F.when(second, F.col("t2_ok")).otherwise(F.col("t1_ok"))
+    a_key = F.when(F.coalesce("t1_ok", F.lit(True)), F.col("t1_key"))
+    yes = lambda c: F.coalesce(c, F.lit(False))
     rule = (
-        F.when(~F.col("t3_read"), 0).when(same_reading(s, a), 1)
+        F.when(~F.col("t3_read"), 0).when(yes(F.col("t3_key") == a_key), 1)
         .when(f.isNull() & s.isNull() & ~F.col("t2_read") & ~F.col("t1_read"), 2).when(f.isNull() & s.isNull(), 3)
-        .when(F.coalesce(f == s, F.lit(False)), 4).when(s.isNull() | (f.isNotNull() & f_valid), 5).otherwise(6)
+        .when(yes(f == s), 4).when(s.isNull() | (f.isNotNull() & yes(f_ok)), 5).otherwise(6)
     )
-    out = wide.withColumn("_rule", rule).withColumn("chosen", F.when(F.col("_rule").isin(1, 2, 6), s).otherwise(f))
-    against = F.col("_rule").isin(4, 5, 6) & a.isNotNull() & ~same_reading(a, F.col("chosen"))
+    out = wide.withColumn("_rule", rule).withColumn("_third", F.col("_rule").isin(1, 2, 6))
+    out = out.withColumn("chosen", F.when(F.col("_third"), s).otherwise(f)).withColumn("chosen_key", F.when(F.col("_third"), F.col("t3_key")).otherwise(f_key))
+    has_a = F.coalesce("t1_ok", F.lit(True)) & F.col("t1_value").isNotNull()
+    against = F.col("_rule").isin(4, 5, 6) & has_a & ~yes(a_key == F.col("chosen_key"))
+    out = out.withColumn("rule_no", F.when(against, 7).otherwise(F.col("_rule")))
     running = F.coalesce(F.when(F.col("t2_read"), F.col("t2_conf")), "t1_conf")
     confidence = F.when(F.col("rule_no").isin(1, 4), AGREED).when(F.col("rule_no").isin(5, 6, 7), DISPUTED).otherwise(running)
-    reader = F.when(F.col("_rule").isin(1, 2, 6), "3a").when(F.col("t2_read"), "2").when(F.col("t1_read"), "1")
-    return out.withColumn("rule_no", F.when(against, 7).otherwise(F.col("_rule"))).withColumn("confidence", confidence).withColumn("reader", reader).drop("_rule")
+    reader = F.when(F.col("_third"), "3a").when(F.col("t2_read"), "2").when(F.col("t1_read"), "1")
+    return out.withColumn("confidence", confidence).withColumn("reader", reader).drop("_rule", "_third")
 
 
 def parked(resolved: DataFrame) -> DataFrame:
@@ -77,9 +84,10 @@ def park_after_failure(resolved: DataFrame, failed: Column) -> DataFrame:
 def attribution(resolved: DataFrame) -> DataFrame:
     """reason, n: why values of the strongest reader were kept: it matched reader 1, reader 2 was blank, free text, or reader 2's value failed its rule."""
     kept = resolved.filter((F.col("reader") == "3a") & F.col("chosen").isNotNull())
+    second = F.col("t2_value").isNotNull()
     reason = (
-        F.when(same_reading(F.col("chosen"), F.col("t1_value")), "matched").when(F.coalesce("t2_value", "t1_value").isNull(), "blank")
-        .when(verdict(F.col("field_name"), F.coalesce("t2_value", "t1_value")).isNull(), "free_text").otherwise("failed")
+        F.when(F.coalesce(F.col("chosen_key") == F.col("t1_key"), F.lit(False)), "matched").when(F.coalesce("t2_value", "t1_value").isNull(), "blank")
+        .when(F.when(second, F.col("t2_ok")).otherwise(F.col("t1_ok")).isNull(), "free_text").otherwise("failed")
     )
     return kept.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
 

@@ -195,7 +195,7 @@ def safe_stems(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- readings
 
-ASCII_NORM = "nullif(trim(regexp_replace(lower({0}), '[\\s\\x{{00A0}}]+', ' ', 'g')), '')"
+ASCII_NORM = "nullif(trim(regexp_replace(replace(lower({0}), 'ς', 'σ'), '[\\s\\p{{Z}}]+', ' ', 'g')), '')"
 
 
 def sql_date(c: str) -> str:
@@ -403,7 +403,7 @@ def training_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH f AS (SELECT doc_id, unnest(fields) AS f FROM sidecars), v AS (SELECT doc_id, f.name AS name, f.value AS value FROM f),
-w AS (SELECT *, string_split(trim(regexp_replace(value, '[\\s\\x{{00A0}}]+', ' ', 'g')), ' ') AS ws FROM v),
+w AS (SELECT *, string_split(trim(regexp_replace(value, '[\\s\\p{{Z}}]+', ' ', 'g')), ' ') AS ws FROM v),
 t AS (
   SELECT doc_id, 'last_name' AS field, CASE WHEN contains(value, ',') THEN {ASCII_NORM.format("trim(split_part(value, ',', 1))")} END AS token FROM v WHERE name = 'patient_name'
   UNION ALL SELECT doc_id, 'first_name', CASE WHEN contains(value, ',') THEN {ASCII_NORM.format("trim(substr(value, instr(value, ',') + 1))")} END FROM v WHERE name = 'patient_name'
