@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -174,7 +175,7 @@ def decode_documents(encoded: DataFrame, id_col: str = "doc_id", ids_col: str =
     path = path or vocabulary_path()
 
     @F.pandas_udf(T.StringType())
-    def back(s: "pd.Series") -> "pd.Series":  # noqa: F821
+    def back(s: pd.Series) -> pd.Series:
         enc = encoder(path)
         return s.map(lambda ids: None if ids is None else enc.decode(ids))
 
