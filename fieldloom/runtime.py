@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -44,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _own is None or not os.path.isdir(_own):
         _own = tempfile.mkdtemp(prefix="fieldloom-")
