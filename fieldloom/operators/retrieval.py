@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Query vectors of a block; each block is held by every task once.
 BLOCK = 4096
@@ -55,6 +56,30 @@ def max_sim(tokens: DataFrame, queries: DataFrame) -> DataFrame:
     return best.groupBy("query", "doc").agg(F.sum("best").alias("score"))
 
 
+#: The first bytes of a packed matrix; then the numbers of rows and columns as 32-bit integers and the values as 32-bit floats, all little-endian, row by row.
+MAGIC = b"CQV1"
+
+
+def pack(rows: list[list[float]]) -> bytes:
+    """A matrix as bytes; rows of unequal length raise."""
+    m = np.array(rows, dtype="<f4").reshape(len(rows), -1)
+    return MAGIC + np.array(m.shape, dtype="<u4").tobytes() + m.tobytes()
+
+
+def unpack(blob: bytes) -> list[list[float]]:
+    """The inverse of pack; bytes that are no whole packed matrix raise."""
+    if blob[:4] != MAGIC or len(blob) < 12:
+        raise ValueError("no packed matrix")
+    rows, cols = (int(x) for x in np.frombuffer(blob, "<u4", 2, 4))
+    if len(blob) != 12 + 4 * rows * cols:
+        raise ValueError(f"{len(blob)} bytes for {rows} x {cols}")
+    return np.frombuffer(blob, "<f4", rows * cols, 12).reshape(rows, cols).tolist()
+
+
+packed = F.pandas_udf(lambda s: s.map(lambda v: None if v is None else pack([list(r) for r in v])), T.BinaryType())
+unpacked = F.pandas_udf(lambda s: s.map(lambda v: None if v is None else unpack(v)), T.ArrayType(T.ArrayType(T.FloatType())))
+
+
 def top_k(scores: DataFrame, k: int) -> DataFrame:
     """The k best documents of each query, ties by doc; none for k below 1."""
     w = Window.partitionBy("query").orderBy(F.desc("score"), "doc")
