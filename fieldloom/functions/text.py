@@ -30,6 +30,11 @@ def squeezed(c: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(F.translate(F.lower(c), "ς", "σ"), SPACE, " ")), F.lit(""))
 
 
+def stripped(c: Column) -> Column:
+    """A text without white space of any kind at its ends."""
+    return F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+
+
 @F.pandas_udf(T.StringType())
 def folded(s: pd.Series) -> pd.Series:
     """NFKC, white space runs as one space, trimmed, case folded; null for null and where nothing is left."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldloom.functions.text import label_words, title, without_box_number
+from fieldloom.functions.text import label_words, stripped, title, without_box_number
 
 #: Similarity from which a label counts as matched, score from which a document is routed at once, characters of a label looked at.
 MATCH_FLOOR, ROUTE_AT, LABEL_CHARS = 0.3, 1.0, 512
@@ -35,7 +35,7 @@ def batches(dictionary: DataFrame) -> DataFrame:
 
 def distinctive(dictionary: DataFrame) -> DataFrame:
     """alias, weight: upper-cased healthcare aliases that base, insurance and hr records don't have, weighing 1 / number of healthcare records with it."""
-    a = aliases(dictionary).withColumn("alias", F.upper(F.trim("alias"))).select("field", "vertical", "alias").distinct()
+    a = aliases(dictionary).withColumn("alias", F.upper(stripped(F.col("alias")))).select("field", "vertical", "alias").distinct()
     other = a.filter(F.col("vertical").isin("base", "insurance", "hr")).select("alias").distinct()
     return a.filter("vertical = 'healthcare'").groupBy("alias").agg(F.count("*").alias("n")).join(other, "alias", "left_anti").select("alias", (1 / F.col("n")).alias("weight"))
 
@@ -93,9 +93,9 @@ def match_labels(labels: DataFrame, dictionary: DataFrame, label: str = "label")
 def learned(corrections: DataFrame, dictionary: DataFrame) -> DataFrame:
     """field, vertical, alias: phrasings from corrections that the dictionary has neither as an alias of that field nor so in another case, each once in its first form."""
     fields = dictionary.select(F.col("canonical_name").alias("field"), "vertical")
-    c = corrections.select(F.lower(F.trim("field_name")).alias("field"), F.trim("learned_alias").alias("alias")).filter("alias <> ''")
+    c = corrections.select(F.lower(stripped(F.col("field_name"))).alias("field"), stripped(F.col("learned_alias")).alias("alias")).filter("alias <> ''")
     new = c.join(fields, "field").groupBy("field", "vertical", F.upper("alias").alias("upper")).agg(F.min("alias").alias("alias"))
-    known = aliases(dictionary).select("field", "vertical", F.upper(F.trim("alias")).alias("upper")).distinct()
+    known = aliases(dictionary).select("field", "vertical", F.upper(stripped(F.col("alias"))).alias("upper")).distinct()
     return new.join(known, ["field", "vertical", "upper"], "left_anti").select("field", "vertical", "alias")
 
 

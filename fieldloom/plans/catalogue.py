@@ -371,8 +371,15 @@ def label_matches(spark: SparkSession, d: str) -> DataFrame:
     return D.match_labels(table(spark, d, "correction_outcomes"), table(spark, d, "alias_dictionary"), "learned_alias")
 
 
+def sql_upper(c: str) -> str:
+    """upper(), with the letters that become two in capitals."""
+    for small, big in (("ß", "ss"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl")):
+        c = f"replace({c}, '{small}', '{big}')"
+    return f"upper({c})"
+
+
 @query(f"""WITH {ALIASES}, c AS (SELECT lower(trim(field_name)) AS field, trim(learned_alias) AS alias FROM correction_outcomes WHERE trim(learned_alias) <> ''),
-n AS (SELECT field, d.vertical, upper(alias) AS u, min(alias) AS alias FROM c JOIN alias_dictionary d ON d.canonical_name = c.field GROUP BY ALL)
+n AS (SELECT field, d.vertical, {sql_upper('alias')} AS u, min(alias) AS alias FROM c JOIN alias_dictionary d ON d.canonical_name = c.field GROUP BY ALL)
 SELECT field, vertical, alias FROM n WHERE NOT EXISTS (SELECT 1 FROM al WHERE al.field = n.field AND al.vertical = n.vertical AND upper(trim(al.alias)) = n.u)""")
 def learned_aliases(spark: SparkSession, d: str) -> DataFrame:
     return D.learned(table(spark, d, "correction_outcomes"), table(spark, d, "alias_dictionary"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fieldloom.functions.text import stripped
 from fieldloom.operators.dictionary import aliases
 
 
@@ -29,9 +30,9 @@ def learn(spark: SparkSession, corrections: DataFrame, dictionary: DataFrame, ov
         if then:
             then(known, n)
         fields = dictionary.select(F.col("canonical_name").alias("field"), "vertical")
-        c = df.select(F.lower(F.trim("field_name")).alias("field"), F.trim("learned_alias").alias("alias")).filter("alias <> ''")
+        c = df.select(F.lower(stripped(F.col("field_name"))).alias("field"), stripped(F.col("learned_alias")).alias("alias")).filter("alias <> ''")
         new = c.join(fields, "field").groupBy("field", "vertical", F.upper("alias").alias("u")).agg(F.min("alias").alias("alias"))
-        new = new.join(known.select("field", "vertical", F.upper(F.trim("alias")).alias("u")).distinct(), ["field", "vertical", "u"], "left_anti")
+        new = new.join(known.select("field", "vertical", F.upper(stripped(F.col("alias"))).alias("u")).distinct(), ["field", "vertical", "u"], "left_anti")
         new.select("field", "vertical", "alias").write.mode("overwrite").parquet(f"{overlay}/batch={n}")
 
     return corrections.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
