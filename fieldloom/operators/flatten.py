@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldloom.functions.text import birth_and_sex, iso_date, last_first, sex_code, squeezed
+from fieldloom.functions.text import birth_and_sex, iso_date, last_first, presence, sex_code, squeezed
 
 # Fields of a sidecar and the scored fields that they hold.
 SIDECAR_FIELDS = {
-    "patient_address_line": "address_street", "patient_city": "address_city", "patient_state": "address_state", "patient_zip": "address_zip",
-    "patient_phone": "phone", "insured_id": "insurance_member_id",
+    "patient_address_line": "address_street", "patient_city": "address_city", "patient_state": "address_state", "patient_postal_code": "address_zip",
+    "patient_phone": "phone", "diagnosis": "reason_for_visit",
 }
 BUNDLE = (
     "entry array<struct<resource struct<resourceType string, id string, birthDate string, gender string, name array<struct<family string, given array<string>>>,"
@@ -24,10 +24,10 @@ ANNOTATION = (
 
 
 def sidecar_truth(sidecars: DataFrame) -> DataFrame:
-    """doc_id, field, token of each known value: names and the box of birth date and sex taken apart, tokens comparable, fields without a value left out.
+    """doc_id, field, token of each known value: names and the box of birth date and sex taken apart, a signature field as present, tokens comparable, fields without a value left out.
 
     Repeated sidecars of a document give each field once, the smallest token counting."""
-    f = sidecars.select("doc_id", F.col("signature.mode").isNotNull().alias("signed"), F.explode(F.arrays_zip("fields.name", "fields.value")).alias("f")).select("doc_id", F.col("f.name").alias("name"), F.col("f.value").alias("value"))
+    f = sidecars.select("doc_id", F.explode(F.arrays_zip("fields.name", "fields.value")).alias("f")).select("doc_id", F.col("f.name").alias("name"), F.col("f.value").alias("value"))
     last, first = last_first(F.col("value"))
     born, sex = birth_and_sex(F.col("value"))
     row = lambda field, token: F.struct(F.lit(field).alias("field"), token.alias("token"))
@@ -35,6 +35,8 @@ def sidecar_truth(sidecars: DataFrame) -> DataFrame:
     out = (
         F.when(F.col("name") == "patient_name", F.array(row("last_name", squeezed(last)), row("first_name", squeezed(first))))
         .when(F.col("name") == "patient_birth_date", F.array(row("date_of_birth", iso_date(born)), row("sex", sex_code(sex))))
+        .when(F.col("name") == "date_signed", F.array(row("date_signed", iso_date(F.col("value")))))
+        .when(F.col("name") == "signature", F.array(row("signature", presence(F.lit(True)))))
         .otherwise(plain)
     )
     return f.select("doc_id", F.inline(out)).filter("token is not null").groupBy("doc_id", "field").agg(F.min("token").alias("token"))
