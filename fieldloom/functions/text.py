@@ -38,19 +38,30 @@ def stripped(c: Column) -> Column:
 @F.pandas_udf(T.StringType())
 def folded(s: pd.Series) -> pd.Series:
     """NFKC, white space runs as one space, trimmed, case folded; null for null and where nothing is left."""
-    return s.map(lambda v: None if v is None else re.sub(r"\s+", " ", unicodedata.normalize("NFKC", v)).strip().casefold() or None)
+    return s.map(lambda v: re.sub(r"\s+", " ", unicodedata.normalize("NFKC", v)).strip().casefold() or None, na_action="ignore")
+
+
+def full_form(c: Column) -> Column:
+    """folded() of a text. Only texts with a character outside printable ASCII are handed to Python, the others as nulls; for those squeezed() is the same."""
+    odd = c.rlike(r"[^\x20-\x7E]")
+    return F.when(odd, folded(F.when(odd, c))).otherwise(squeezed(c))
 
 
 def iso_date(c: Column) -> Column:
-    """yyyy-MM-dd of a date written M/D/YYYY, YYYY-MM-DD or M-D-YYYY; null for anything else."""
+    """yyyy-MM-dd of a date written M/D/YYYY, YYYY-MM-DD or M-D-YYYY, after NFKC; null for anything else."""
+    return plain_date(full_form(c))
+
+
+def plain_date(c: Column) -> Column:
+    """iso_date of a text as it is written, without NFKC, which validators don't apply."""
     t = F.trim(F.regexp_replace(c, SPACE, " "))
     d = F.coalesce(F.try_to_date(t, "M/d/yyyy"), F.try_to_date(t, "yyyy-M-d"), F.try_to_date(t, "M-d-yyyy"))
     return F.when(t.rlike(r"^(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4})$"), F.date_format(d, "yyyy-MM-dd"))
 
 
 def sex_code(c: Column) -> Column:
-    """m, f or u by the first letter; else null."""
-    first = F.upper(F.substring(F.trim(c), 1, 1))
+    """M, F or U by the first letter after NFKC; else null."""
+    first = F.upper(F.substring(full_form(c), 1, 1))
     return F.when(first.isin("M", "F", "U"), first)
 
 
@@ -68,7 +79,7 @@ def last_first(c: Column) -> tuple[Column, Column]:
 
 def birth_and_sex(c: Column) -> tuple[Column, Column]:
     """(date of birth, sex) of a box with both: the first word, and the last one where it is M, F or U."""
-    w = F.split(F.trim(F.regexp_replace(c, SPACE, " ")), " ")
+    w = F.split(F.coalesce(full_form(c), F.lit("")), " ")
     last = F.upper(F.element_at(w, -1))
     return F.nullif(F.get(w, F.lit(0)), F.lit("")), F.when(last.isin("M", "F", "U"), last)
 
@@ -94,7 +105,7 @@ def word_index(words: Column, phrase: Column) -> Column:
 def verdict(field: Column, value: Column) -> Column:
     """Whether a value is valid for its field: dates within the range, zips, states and phones; null for fields without a rule, and for null values."""
     date_field = field.rlike(r"^date_|_date$|_dob$|^date$")
-    day = iso_date(value)
+    day = plain_date(value)
     digits = F.regexp_replace(value, r"[^0-9]", "")
     return (
         F.when(value.isNull(), F.lit(None).cast("boolean"))
@@ -111,8 +122,9 @@ def finalizes(field: Column, value: Column) -> Column:
 
 
 def comparable(c: Column) -> Column:
-    """What two readings are compared by: the day of a date, else the squeezed text."""
-    return F.coalesce(iso_date(c), squeezed(c))
+    """What two readings are compared by, both after NFKC: the day of a date, else the folded text."""
+    full = full_form(c)
+    return F.coalesce(plain_date(full), full)
 
 
 def same_reading(a: Column, b: Column) -> Column:

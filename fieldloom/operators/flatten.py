@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldloom.functions.text import birth_and_sex, iso_date, last_first, presence, sex_code, squeezed
+from fieldloom.functions.text import birth_and_sex, comparable, full_form, iso_date, last_first, plain_date, presence
 
 # Fields of a sidecar and the scored fields that they hold.
 SIDECAR_FIELDS = {
@@ -31,10 +31,10 @@ def sidecar_truth(sidecars: DataFrame) -> DataFrame:
     last, first = last_first(F.col("value"))
     born, sex = birth_and_sex(F.col("value"))
     row = lambda field, token: F.struct(F.lit(field).alias("field"), token.alias("token"))
-    plain = F.coalesce(*[F.when(F.col("name") == n, F.array(row(t, squeezed(F.col("value"))))) for n, t in SIDECAR_FIELDS.items()])
+    plain = F.coalesce(*[F.when(F.col("name") == n, F.array(row(t, full_form(F.col("value"))))) for n, t in SIDECAR_FIELDS.items()])
     out = (
-        F.when(F.col("name") == "patient_name", F.array(row("last_name", squeezed(last)), row("first_name", squeezed(first))))
-        .when(F.col("name") == "patient_birth_date", F.array(row("date_of_birth", iso_date(born)), row("sex", sex_code(sex))))
+        F.when(F.col("name") == "patient_name", F.array(row("last_name", full_form(last)), row("first_name", full_form(first))))
+        .when(F.col("name") == "patient_birth_date", F.array(row("date_of_birth", plain_date(born)), row("sex", sex)))
         .when(F.col("name") == "date_signed", F.array(row("date_signed", iso_date(F.col("value")))))
         .when(F.col("name") == "signature", F.array(row("signature", presence(F.lit(True)))))
         .otherwise(plain)
@@ -91,7 +91,7 @@ def annotated_fields(docs: DataFrame, tolerance: float = 0.02) -> DataFrame:
 
 def annotated_truth(fields: DataFrame, known: list[str]) -> DataFrame:
     """doc_id, field, token: the first text of each known field type that is comparable; a null text does not take the place."""
-    t = fields.filter(F.col("fieldtype").isin(*known)).withColumn("token", F.coalesce(iso_date(F.col("text")), squeezed(F.col("text")))).filter("token is not null")
+    t = fields.filter(F.col("fieldtype").isin(*known)).withColumn("token", comparable(F.col("text"))).filter("token is not null")
     return t.groupBy("doc_id", F.col("fieldtype").alias("field")).agg(F.min_by("token", "pos").alias("token"))
 
 

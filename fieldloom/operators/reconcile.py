@@ -105,4 +105,5 @@ def pair_agreement(attempts: DataFrame, a: str, b: str) -> DataFrame:
     one = lambda t: attempts.filter(F.col("tier") == t).groupBy("doc_id", "field_name").agg(F.max("value").alias(f"v{t}"))
     va, vb = F.col(f"v{a}"), F.col(f"v{b}")
     ok = (va.isNull() & vb.isNull()) | same_reading(va, vb)
-    return one(a).join(one(b), ["doc_id", "field_name"]).groupBy("field_name").agg(F.count("*").alias("n"), F.count_if(ok).alias("agree"), F.round(F.count_if(ok) / F.count("*"), 6).alias("rate"))
+    pairs = one(a).join(one(b), ["doc_id", "field_name"]).select("field_name", ok.alias("ok"))
+    return pairs.groupBy("field_name").agg(F.count("*").alias("n"), F.count_if("ok").alias("agree"), F.round(F.count_if("ok") / F.count("*"), 6).alias("rate"))

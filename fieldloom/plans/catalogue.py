@@ -229,7 +229,7 @@ def verdicts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT field_name, count(*) AS n, count({sql_norm('value')}) AS filled, count(DISTINCT {sql_norm('value')}) AS different FROM field_attempts GROUP BY field_name")
 def tokens_by_field(spark: SparkSession, d: str) -> DataFrame:
-    a = table(spark, d, "field_attempts").withColumn("t", F.coalesce(X.iso_date(F.col("value")), X.squeezed(F.col("value"))))
+    a = table(spark, d, "field_attempts").withColumn("t", X.comparable(F.col("value")))
     return a.groupBy("field_name").agg(F.count("*").alias("n"), F.count("t").alias("filled"), F.count_distinct("t").alias("different"))
 
 

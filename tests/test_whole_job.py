@@ -1,8 +1,15 @@
 """Operators that once did less than the whole job, against brute force on the real tables."""
 
+import unicodedata
+from collections import defaultdict
 from datetime import datetime
 
-from fieldloom.operators import flatten
+import pytest
+from pyspark.sql import functions as F
+
+from fieldloom.functions import text as X
+from fieldloom.operators import reconcile
+from fieldloom.plans import catalogue
 from fieldloom.runtime import table
 
 SF = "/root/testdata/sf0.001"
@@ -12,19 +19,19 @@ BOXES = {
 SCORED = {*BOXES.values(), "last_name", "first_name", "date_of_birth", "sex", "date_signed", "signature"}
 
 
-def plain_ascii(v):
-    return v is None or all(" " <= c <= "~" for c in v)
+def nfkc(v):
+    return " ".join(unicodedata.normalize("NFKC", v or "").split())
 
 
-def squeeze(v):
-    return " ".join((v or "").split()).lower() or None
+def fold(v):
+    return nfkc(v).casefold() or None
 
 
 def day(v):
     for form in ("%m/%d/%Y", "%Y-%m-%d", "%m-%d-%Y"):
         try:
-            return datetime.strptime(v.strip(), form).date().isoformat()
-        except (ValueError, AttributeError):
+            return datetime.strptime(nfkc(v), form).date().isoformat()
+        except ValueError:
             pass
     return None
 
@@ -34,18 +41,83 @@ def truth_of(fields):
     raw, out = {f["name"]: f["value"] or "" for f in fields}, {}
     if "," in raw.get("patient_name", ""):
         last, _, first = raw["patient_name"].partition(",")
-        out["last_name"], out["first_name"] = squeeze(last), squeeze(first)
-    if words := raw.get("patient_birth_date", "").split():
+        out["last_name"], out["first_name"] = fold(last), fold(first)
+    if words := nfkc(raw.get("patient_birth_date")).split():
         out["date_of_birth"], out["sex"] = day(words[0]), words[-1].upper() if words[-1].upper() in ("M", "F", "U") else None
-    out |= {field: squeeze(raw.get(box)) for box, field in BOXES.items()}
+    out |= {field: fold(raw.get(box)) for box, field in BOXES.items()}
     out["date_signed"], out["signature"] = day(raw.get("date_signed")), "present" if "signature" in raw else None
     return {k: v for k, v in out.items() if v}
 
 
 def test_sidecar_truth_has_all_twelve_fields(spark):
-    rows = [r for r in table(spark, SF, "sidecars").collect() if all(plain_ascii(f["value"]) for f in r["fields"])]
-    want = {(r["doc_id"], k, v) for r in rows for k, v in truth_of(r["fields"]).items()}
-    assert {k for _, k, _ in want} == SCORED
-    docs = spark.createDataFrame([(r["doc_id"],) for r in rows], "doc_id string").distinct()
-    got = flatten.sidecar_truth(table(spark, SF, "sidecars").join(docs, "doc_id", "left_semi"))
-    assert {tuple(r) for r in got.collect()} == want
+    want = defaultdict(set)
+    for r in table(spark, SF, "sidecars").collect():
+        for k, v in truth_of(r["fields"]).items():
+            want[r["doc_id"], k].add(v)
+    assert {k for _, k in want} == SCORED
+    assert {tuple(r) for r in catalogue.sidecar_truth(spark, SF).collect()} == {(*k, min(v)) for k, v in want.items()}
+
+
+def comparable(v):
+    return None if v is None else day(v) or fold(v)
+
+
+SAME = [("Ａｎｎ", "ann"), ("Jose\u0301", "JOSÉ"), ("Straße", "STRASSE"), ("０４／０７／２０２０", "2020-04-07"), ("a\u00a0 b", "A B"), ("ﬁn", "FIN")]
+
+
+@pytest.mark.parametrize("a, b", SAME)
+def test_readings_equal_after_nfkc(spark, a, b):
+    w = reconcile.by_reader(spark.createDataFrame([("d", "first_name", t, v, 1.0) for t, v in (("1", a), ("2", "other"), ("3a", b))], "doc_id string, field_name string, tier string, value string, confidence double"))
+    r = reconcile.reconcile(reconcile.route(w)).first()
+    assert (r["rule_no"], r["confidence"], r["reader"]) == (1, 0.95, "3a")
+    df = spark.createDataFrame([("d", "f", "1", a), ("d", "f", "2", b)], "doc_id string, field_name string, tier string, value string")
+    assert [tuple(x) for x in reconcile.pair_agreement(df, "1", "2").collect()] == [("f", 1, 1, 1.0)]
+    assert reconcile.route(reconcile.by_reader(df.selectExpr("*", "1.0D AS confidence"))).first()["route"] == "agree"
+
+
+def test_dates_and_sexes_after_nfkc(spark):
+    r = spark.createDataFrame([("０４／０７／２０２０", "ｍ")], "d string, s string").select(X.iso_date(F.col("d")), X.sex_code(F.col("s"))).first()
+    assert tuple(r) == ("2020-04-07", "M")
+
+
+def test_readings_of_the_table_by_brute_force(spark):
+    rows = table(spark, SF, "field_attempts").collect()
+    n, filled, different, best = defaultdict(int), defaultdict(int), defaultdict(set), {}
+    for r in rows:
+        f, key = r["field_name"], comparable(r["value"])
+        n[f] += 1
+        if key is not None:
+            filled[f] += 1
+            different[f].add(key)
+        at = (r["doc_id"], f, r["tier"])
+        best[at] = max(best.get(at, ""), r["value"] or "")
+    assert {tuple(r) for r in catalogue.tokens_by_field(spark, SF).collect()} == {(f, n[f], filled[f], len(different[f])) for f in n}
+    pairs, agree = defaultdict(int), defaultdict(int)
+    for (doc, f, t), v in best.items():
+        if t == "2" and (doc, f, "3a") in best:
+            w = best[doc, f, "3a"]
+            pairs[f] += 1
+            agree[f] += comparable(v) == comparable(w)
+    assert {(r["field_name"], r["n"], r["agree"]) for r in catalogue.pair_agreement(spark, SF).collect()} == {(f, pairs[f], agree[f]) for f in pairs}
+
+
+RULES = {1: 0.95, 4: 0.95, 5: 0.5, 6: 0.5, 7: 0.5}
+
+
+def test_rules_and_routes_of_the_table_by_brute_force(spark):
+    """Where all three readers have values and no rule for the field, the outcome follows from the comparisons alone."""
+    read = defaultdict(dict)
+    for r in table(spark, SF, "field_attempts").filter("field_name IN ('first_name', 'last_name', 'reason_for_visit', 'address_street', 'address_city')").collect():
+        at = read[r["doc_id"], r["field_name"]]
+        at[r["tier"]] = max(at.get(r["tier"], ""), r["value"] or "")
+    want = {}
+    for key, v in read.items():
+        one, two, three = (v.get(t) or None for t in ("1", "2", "3a"))
+        if one and two and three:
+            k1, k2, k3 = map(comparable, (one, two, three))
+            rule = 1 if k3 == k1 else 4 if two == three else 6
+            chosen = k2 if rule == 4 else k3
+            rule = 7 if rule > 1 and k1 != chosen else rule
+            want[key] = ("agree" if k1 == k2 else "routed", rule, RULES[rule])
+    got = {(r["doc_id"], r["field_name"]): (r["route"], r["rule_no"], r["confidence"]) for r in catalogue.reconciled(spark, SF).collect()}
+    assert len(want) > 100 and {k: got[k] for k in want} == want
