@@ -505,7 +505,7 @@ def latest_event(spark: SparkSession, d: str) -> DataFrame:
     return e.select("user_id", "e.event_id", "e.ts")
 
 
-# ---- inline fixtures: markup and nested documents, which no table holds
+# ---- inline fixtures: markup and nested documents, which no table holds, and hard replies; those in documents are read by unchecked.document_replies
 
 TABLE_HTML = (
     "<table><tr><td colspan=2>2. Name of subscriber</td><td>Member&nbsp;identification</td></tr><tr><td>Doe</td><td>Jo</td><td>HBM1</td></tr>"

@@ -1,5 +1,7 @@
 """Operators that once did less than the whole job, against brute force on the real tables."""
 
+import json
+import re
 import unicodedata
 from collections import defaultdict
 from datetime import datetime
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import text as X
 from fieldloom.operators import reconcile
-from fieldloom.plans import catalogue
+from fieldloom.plans import catalogue, unchecked
 from fieldloom.runtime import table
 
 SF = "/root/testdata/sf0.001"
@@ -121,3 +123,27 @@ def test_rules_and_routes_of_the_table_by_brute_force(spark):
             want[key] = ("agree" if k1 == k2 else "routed", rule, RULES[rule])
     got = {(r["doc_id"], r["field_name"]): (r["route"], r["rule_no"], r["confidence"]) for r in catalogue.reconciled(spark, SF).collect()}
     assert len(want) > 100 and {k: got[k] for k in want} == want
+
+
+def reply(text):
+    """The fields of a reply, and whether it took a fallback."""
+    try:
+        whole = json.loads(text or "")
+        return (whole if isinstance(whole, dict) else {}), False
+    except ValueError:
+        pass
+    for m in [re.search(r"```(?:json)?\s*(\{.*?\})\s*```", text or "", re.S), re.search(r"\{.*", text or "", re.S)]:
+        try:
+            if m:
+                return json.JSONDecoder().raw_decode(m.group(m.lastindex or 0))[0], True
+        except ValueError:
+            pass
+    return {}, False
+
+
+def test_replies_in_documents_are_read(spark):
+    d = SF.replace("sf0.001", "sf0.01")
+    want = {r["doc_id"]: reply(r["text"]) for r in table(spark, d, "documents").collect()}
+    got = {r["doc_id"]: json.loads(r["fields"]) for r in unchecked.document_replies(spark, d).collect()}
+    assert got == {k: v for k, (v, _) in want.items()}
+    assert sum(f for _, f in want.values()) > 0 and sum(bool(v) for v in got.values()) > 20
