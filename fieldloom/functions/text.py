@@ -41,6 +41,11 @@ def folded(s: pd.Series) -> pd.Series:
     return s.map(lambda v: re.sub(r"\s+", " ", unicodedata.normalize("NFKC", v)).strip().casefold() or None, na_action="ignore")
 
 
+def loose(c: Column) -> Column:
+    """Lower-case letters and digits of ASCII only; null where none is left."""
+    return F.nullif(F.regexp_replace(F.lower(c), "[^a-z0-9]+", ""), F.lit(""))
+
+
 def full_form(c: Column) -> Column:
     """folded() of a text. Only texts with a character outside printable ASCII are handed to Python, the others as nulls; for those squeezed() is the same."""
     odd = c.rlike(r"[^\x20-\x7E]")

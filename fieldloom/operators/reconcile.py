@@ -68,11 +68,15 @@ def reconcile(wide: DataFrame) -> DataFrame:
     return out.withColumn("confidence", confidence).withColumn("reader", reader).drop("_rule", "_third")
 
 
+def below_gate(resolved: DataFrame) -> DataFrame:
+    """The fields for which a document is parked: never read, or with a value below the review gate."""
+    below = F.col("chosen").isNotNull() & (F.col("confidence") < REVIEW_BELOW)
+    return resolved.filter(F.col("reader").isNull() | F.coalesce(below, F.lit(False)))
+
+
 def parked(resolved: DataFrame) -> DataFrame:
     """doc_id, drivers (fields below the review gate, in order), lowest: documents with a field that was never read or has a value below the gate."""
-    below = F.col("chosen").isNotNull() & (F.col("confidence") < REVIEW_BELOW)
-    why = resolved.filter(F.col("reader").isNull() | F.coalesce(below, F.lit(False)))
-    return why.groupBy("doc_id").agg(F.sort_array(F.collect_list("field_name")).alias("drivers"), F.min("confidence").alias("lowest"))
+    return below_gate(resolved).groupBy("doc_id").agg(F.sort_array(F.collect_list("field_name")).alias("drivers"), F.min("confidence").alias("lowest"))
 
 
 def park_after_failure(resolved: DataFrame, failed: Column) -> DataFrame:

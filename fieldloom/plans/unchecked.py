@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.functions import text as X
+from fieldloom.operators import reconcile, scoring
 from fieldloom.runtime import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,4 +20,9 @@ def document_replies(spark: SparkSession, d: str) -> DataFrame:
     return r.select("doc_id", F.to_json(X.reply_fields(F.col("text")), {"ignoreNullFields": "false"}).alias("fields"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (document_replies,)}
+def routed_per_document(spark: SparkSession, d: str) -> DataFrame:
+    """Fields routed to the strongest reader, a document."""
+    return scoring.routed_per_document(reconcile.route(reconcile.by_reader(table(spark, d, "field_attempts"))))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (document_replies, routed_per_document)}

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldloom.functions import text as X
-from fieldloom.operators import reconcile
+from fieldloom.operators import metrics, reconcile, scoring
 from fieldloom.plans import catalogue, unchecked
 from fieldloom.runtime import table
 
@@ -147,3 +147,44 @@ def test_replies_in_documents_are_read(spark):
     got = {r["doc_id"]: json.loads(r["fields"]) for r in unchecked.document_replies(spark, d).collect()}
     assert got == {k: v for k, (v, _) in want.items()}
     assert sum(f for _, f in want.values()) > 0 and sum(bool(v) for v in got.values()) > 20
+
+
+READ = "doc_id string, field_name string, tier string, value string, confidence double"
+TRUTH = "doc_id string, field string, token string"
+
+
+def test_forms_are_scored_over_all_scorable_fields(spark):
+    attempts = spark.createDataFrame(
+        [
+            ("d", "first_name", "1", "Al", 0.9), ("d", "first_name", "2", "Ann", 0.9), ("d", "first_name", "3a", "ＡＮＮ", 0.9), ("d", "sex", "1", "Female", 0.9), ("d", "sex", "2", "F", 0.9),
+            ("d", "date_of_birth", "2", "4/7/1990", 0.9), ("d", "phone", "2", "1", 0.9), ("d", "phone", "3a", "1", 0.9), ("d", "address_city", "2", None, 0.9), ("d", "address_city", "3a", "Rye", 0.9), ("d", "reason_for_visit", "2", None, 0.9),
+        ],
+        READ,
+    )
+    truth = spark.createDataFrame([("d", "first_name", "ann"), ("d", "sex", "F"), ("d", "date_of_birth", "1990-04-07"), ("d", "address_city", "rye"), ("e", "phone", "2")], TRUTH)
+    docs = spark.createDataFrame([("d",), ("e",)], "doc_id string")
+    score = lambda a: {r["stage"]: (r["tp"], r["fp"], r["fn"], r["blank"]) for r in scoring.score_forms(scoring.stage_forms(a), truth, docs).collect()}
+    assert score(attempts) == {"Tier 1": (1, 1, 4, 0), "Tier 1+2": (3, 1, 2, 1), "Tier 1+2+3": (4, 1, 1, 1)}
+    other = spark.createDataFrame([("d", "first_name", "Bo", 0.9)], "doc_id string, field_name string, value string, confidence double")
+    # the other reader's Bo is against reader 2's Ann, and it reads no city
+    assert score(scoring.substituted(attempts, other)) == {"Tier 1": (1, 1, 4, 0), "Tier 1+2": (3, 1, 2, 1), "Tier 1+2+3": (2, 2, 3, 1)}
+    assert scoring.score_cells(scoring.stage_forms(attempts), truth, docs, scoring.SCORABLE, scoring.STAGES).count() == 2 * 12 * 3
+    counts = lambda *c: spark.createDataFrame([c], "tp long, fp long, fn long")
+    assert tuple(scoring.change(counts(1, 1, 1), counts(2, 1, 0)).first()) == (0.5, 0.8, 0.3)
+
+
+def test_coarse_scores_and_verdict(spark):
+    forms = spark.createDataFrame([("a", "x", "A-1 "), ("a", "y", "wrong"), ("b", "x", "No. 2")], "doc_id string, field string, value string")
+    truth = spark.createDataFrame([("m", "a", "x", "a1"), ("m", "a", "y", "right"), ("m", "a", "z", "gone"), ("n", "b", "x", "no 2"), ("n", "b", "x", "2"), ("n", "b", "w", "")], "corpus string, doc_id string, field string, value string")
+    got = {r["corpus"]: tuple(r)[1:] for r in scoring.coarse(forms, truth).collect()}
+    assert got == {"m": (1, 1, 1, 1, 0.5, 0.5, 0.5, "fall back"), "n": (1, 1, 0, 0, 1.0, 1.0, 1.0, "ship"), None: (2, 2, 1, 1, 0.6667, 0.6667, 0.6667, "ship with gap")}
+
+
+def test_routed_fields_speed_and_replay(spark):
+    w = reconcile.route(reconcile.by_reader(spark.createDataFrame([("d", "a", "1", "x", 0.3), ("d", "b", "2", "y", 0.9), ("d", "c", "2", "y", 0.5), ("e", "a", "1", "x", 0.9)], READ)))
+    assert tuple(scoring.routed_per_document(w).first()) == (2, 2, 1.0, 1)
+    truth = spark.createDataFrame([("d", "a", "z"), ("d", "b", "q"), ("d", "c", ""), ("e", "a", "z")], TRUTH)
+    assert [tuple(r) for r in scoring.replayed_corrections(reconcile.reconcile(w), truth).collect()] == [("d", "a", "x", "z", "1")]
+    t = spark.createDataFrame([(10, 2_000_000_000), (0, 5), (3, 0), (None, 1)], "n long, ns long").select(scoring.tokens_per_second(F.col("n"), F.col("ns")).alias("v"))
+    assert [r["v"] for r in t.collect()] == [5.0, None, None, None]
+    assert tuple(t.agg(*metrics.loose_stats("v")).first()) == (5.0, 5.0, 5.0)
