@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldloom.functions import text as X
-from fieldloom.operators import metrics, reconcile, scoring
+from fieldloom.operators import layout, metrics, packed, reconcile, scoring
 from fieldloom.plans import catalogue, unchecked
 from fieldloom.runtime import table
 
@@ -188,3 +188,59 @@ def test_routed_fields_speed_and_replay(spark):
     t = spark.createDataFrame([(10, 2_000_000_000), (0, 5), (3, 0), (None, 1)], "n long, ns long").select(scoring.tokens_per_second(F.col("n"), F.col("ns")).alias("v"))
     assert [r["v"] for r in t.collect()] == [5.0, None, None, None]
     assert tuple(t.agg(*metrics.loose_stats("v")).first()) == (5.0, 5.0, 5.0)
+
+
+WORDS = [
+    ("last_name", ["Last name", "Last"]), ("first_name", ["First name", "First"]), ("date_of_birth", ["Birth date"]), ("sex", ["Sex"]), ("address_state", ["State"]), ("address_zip", ["ZIP code"]), ("date_signed", ["Signed date", "Date"]),
+]
+
+
+def dictionary(spark):
+    return spark.createDataFrame([(f, "healthcare", a) for f, a in WORDS], "canonical_name string, vertical string, aliases array<string>")
+
+
+def cell_reader():
+    return packed.Cells([(f, a) for f, al in WORDS for a in al], {"date_of_birth": "date", "date_signed": "date"}, packed.LITERALS)
+
+
+@pytest.mark.parametrize(
+    "label, value, field, out",
+    [
+        ("NAME (LAST, FIRST)", "Doe, Jane", "last_name", [("last_name", "Doe"), ("first_name", "Jane")]), ("First name, last name", "Jane, Doe", "last_name", [("first_name", "Jane"), ("last_name", "Doe")]),
+        ("Last name", "Doe, Jane", "last_name", [("last_name", "Doe, Jane")]), ("3. BIRTH DATE / SEX", "06/13/1955 f", "date_of_birth", [("date_of_birth", "06/13/1955"), ("sex", "F")]),
+        ("Birth date sex", "F", "date_of_birth", [("sex", "F")]), ("ZIP code", "MA 02481", "address_zip", [("address_zip", "02481")]), ("State, ZIP code", "MA 02481", "address_zip", [("address_zip", "02481"), ("address_state", "MA")]),
+        ("ZIP code", "02481 02482", "address_zip", [("address_zip", "02481 02482")]),
+    ],
+)
+def test_readings_of_a_packed_value(label, value, field, out):
+    assert cell_reader().of_pair(label, value, field) == out
+
+
+@pytest.mark.parametrize(
+    "cell, out",
+    [
+        ("3. BIRTH DATE / SEX\n06/28/1942\nM", [("date_of_birth", "06/28/1942"), ("sex", "M")]), ("SIGNED\nDATE\n04/01/2026", [("date_signed", "04/01/2026")]), ("A long paragraph below.\nSIGNED\nDATE\n04/02/2026", [("date_signed", "04/02/2026")]),
+        ("DATE 03/01/2026", [("date_signed", "03/01/2026")]), ("UPDATED 03/01/2026", []), ("ZIP code here", []), ("Birth date", []), ("", []),
+    ],
+)
+def test_readings_of_a_cell_with_its_label(cell, out):
+    assert [r[:2] for r in cell_reader().of_cell(cell)] == out
+
+
+def test_typed_values_mentions_and_literals():
+    assert packed.typed("date", " 4/7/2020 ").isoformat() == packed.typed("date", "2020-04-07").isoformat() == "2020-04-07"
+    assert packed.typed("date", "13/1/2020") is None and packed.typed("date", "x") is None and packed.typed(None, " x") == " x"
+    assert cell_reader().mentions("Name (last name, first)") == {"last_name": 1, "first_name": 3} and packed.literal(("Self", "Child"), "SELF") == "Self"
+
+
+def test_offers_take_packed_cells_apart(spark):
+    html = "<table><tr><td>Birth date / sex</td><td>Last, first</td></tr><tr><td>06/13/1955 F</td><td>Doe, Jane</td></tr><tr><td>SIGNED<br>DATE<br>04/01/2026</td><td>ZIP code 02481</td></tr></table>"
+    grid = layout.cells(spark.createDataFrame([("i", html)], "image string, content string"))
+    best = layout.best_offers(layout.offers(layout.table_pairs(grid, ["image"]), dictionary(spark), ["image"], grid), ["image"])
+    assert {r["field"]: r["value"] for r in best.collect()} == {"date_of_birth": "06/13/1955", "sex": "F", "last_name": "Doe", "first_name": "Jane", "date_signed": "04/01/2026", "address_zip": "02481"}
+
+
+def test_verdicts_of_words_agree(spark):
+    rows = [("address_zip", "02481"), ("address_zip", "2481"), ("address_state", "ma"), ("address_state", "QQ"), ("phone", "(212) 555-0100"), ("date_of_birth", "02-30-2024"), ("date_of_birth", "4/7/1990"), ("date_of_birth", "1899-01-01"), ("first_name", "x")]
+    got = spark.createDataFrame(rows, "f string, v string").select("f", "v", X.verdict(F.col("f"), F.col("v")).alias("ok")).collect()
+    assert [r["ok"] for r in got] == [packed.valid(f, v) for f, v in rows]
