@@ -11,6 +11,8 @@ from fieldloom.llm import consensus, lookalike, mapping, mixing, selection, spli
 from fieldloom.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Parts that the readings are summarised by.
+PARTS = 16
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -31,11 +33,21 @@ def p1_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_combined(spark: SparkSession, d: str) -> DataFrame:
-    """The same for stages and releases from summaries by day, combined; within selection.ALPHA of the exact ones."""
-    now = selection.current_results(table(spark, d, "eval_results")).withColumn("day", F.to_date("created_at"))
-    daily = selection.summarise(now, ["stage", "seed_version", "day"], "latency_ms")
-    whole = selection.combine([daily], ["stage", "seed_version"])
-    return selection.from_summary(whole, ["stage", "seed_version"], [0.5, 0.9, 0.99])
+    """The same for the pairs of stage and release, and for each tier, field, stage and release by itself, from summaries of parts, combined; within selection.ALPHA of the exact ones.
+
+    kind, grp, grp2 (the release of a pair, else null). The parts are the day of a result, and PARTS hashes of the doc_id of a reading."""
+    now = selection.current_results(table(spark, d, "eval_results")).withColumn("part", F.to_date("created_at").cast("string"))
+    read = table(spark, d, "field_attempts").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("string"))
+    results = selection.summarise(now, ["stage", "seed_version", "part"], "latency_ms")
+    readings = selection.summarise(read, ["tier", "field_name", "part"], "latency_ms")
+    named = lambda kind, a, b=None: F.struct(F.lit(kind).alias("kind"), F.col(a).alias("grp"), (F.col(b) if b else F.lit(None).cast("string")).alias("grp2"))
+    under = lambda s, *kinds: s.select("bucket", "n", "part", F.inline(F.array(*kinds)))
+    parts = [
+        under(results, named("stage", "stage"), named("seed_version", "seed_version"), named("stage_seed_version", "stage", "seed_version")),
+        under(readings, named("tier", "tier"), named("field_name", "field_name")),
+    ]
+    by = ["kind", "grp", "grp2"]
+    return selection.from_summary(selection.combine(parts, by), by, [0.5, 0.9, 0.99])
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

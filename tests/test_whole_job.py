@@ -244,3 +244,14 @@ def test_verdicts_of_words_agree(spark):
     rows = [("address_zip", "02481"), ("address_zip", "2481"), ("address_state", "ma"), ("address_state", "QQ"), ("phone", "(212) 555-0100"), ("date_of_birth", "02-30-2024"), ("date_of_birth", "4/7/1990"), ("date_of_birth", "1899-01-01"), ("first_name", "x")]
     got = spark.createDataFrame(rows, "f string, v string").select("f", "v", X.verdict(F.col("f"), F.col("v")).alias("ok")).collect()
     assert [r["ok"] for r in got] == [packed.valid(f, v) for f, v in rows]
+
+
+def test_summaries_hold_every_tier_field_stage_and_release(spark):
+    from fieldloom.llm import queries, selection
+
+    exact = {(r["kind"], r["grp"], r["q"]): (r["n"], r["value"]) for r in queries.p1_percentiles(spark, SF).collect()}
+    rows = queries.p1_combined(spark, SF).collect()
+    got = {(r["kind"], r["grp"], r["q"]): (r["n"], r["value"]) for r in rows if r["kind"] != "stage_seed_version"}
+    assert got.keys() == exact.keys() and {k for k, _, _ in got} == {"tier", "field_name", "stage", "seed_version"}
+    assert all(got[k][0] == n and abs(got[k][1] - v) <= selection.ALPHA * v * 1.000001 for k, (n, v) in exact.items())
+    assert any(r["kind"] == "stage_seed_version" and r["grp2"] for r in rows)
