@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldloom.runtime import Scratch, small_side
+from fieldloom.runtime import Scratch, is_small, small_side
 
-#: Values up to which a range that is left is sorted within one task.
-LEAF = 4096
+#: Values up to which a range is read out rather than parted once more.
+LEAF = 16
+#: What a partition proposes of a range: its median, the medians of the two halves, and those of the four quarters.
+PROPOSED = 7
 #: Relative error of a summary's percentiles.
 ALPHA = 0.005
 #: Buckets of a summary for zero, and for values too small or too large for a logarithm of ordinary size.
@@ -29,60 +32,79 @@ def rank_of(q: float, n: Column) -> Column:
 
 
 def multi_select(df: DataFrame, by: list[str], value: str, quantiles: list[float], leaf: int = LEAF) -> DataFrame:
-    """The exact nearest-rank percentiles of value in each group: by..., q, n, value.
+    """The exact nearest-rank percentiles of value in each group: by..., q, n, value. The result's attribute rounds tells how often ranges were parted.
 
     Only values for which measured() holds take part; a group without any gives no row. Null keys form groups of their own; repeated rows
     count as often as they occur; ties are one value. Extra columns, whatever their names, are not read; an empty table gives an empty result.
 
     Distributed multi-select: a range of values still in play is (group, seg). In each round every partition proposes the median of its own values of
-    each range, the weighted median of the proposals becomes the pivot, all values are counted below, at and above it, each wanted rank moves
-    to its side, and sides that hold no wanted rank are discarded. At least about a quarter of each range goes in a round, so a group of n values takes about
-    log(n / leaf) rounds over geometrically shrinking tables. Ranges of at most leaf values are sorted in one task each.
-    Values are never shuffled by group before that: the rounds use partial aggregates only, whatever share of the rows a group has."""
-    spark = df.sparkSession
-    scratch = Scratch(spark, "select")
+    each range, and the medians of the parts that this leaves (PROPOSED in all); the weighted median of each proposal becomes a pivot; all values are counted below,
+    at, between and above the pivots; each wanted rank moves to its part, and parts that hold none are discarded. At least about a quarter of a range goes in a round, as a
+    rule seven eighths, so a group of n values takes about log8(n / leaf) rounds over shrinking tables. Ranges of at most leaf values are read out.
+    Pivots and ranges are broadcast while their measured size allows it, and the values then stay where they lie; a table of too many groups for that is joined by shuffles,
+    in which the planner splits hot groups."""
+    scratch = Scratch(df.sparkSession, "select")
+    key = ["g", "seg"]
     g = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(1).alias("all"))
     x = F.col(value).cast("double")
-    rows = scratch.write(df.select(g.alias("g"), F.lit(0).alias("seg"), x.alias("x")).filter(measured(F.col("x"))))
+    rows = scratch.write(df.filter(measured(x)).select(g.alias("g"), F.lit(0).alias("seg"), (x + 0.0).alias("x")))  # minus zero is zero
     counts = rows.groupBy("g").agg(F.count("*").alias("n"))
     ks = F.array(*[F.struct(F.lit(i).alias("i"), rank_of(q, F.col("n")).alias("k")) for i, q in enumerate(quantiles)])
-    segs = scratch.write(counts.select("g", F.lit(0).alias("seg"), "n", ks.alias("ks")))
-    totals = segs.select("g", F.col("n").alias("total"))
+    ranges = lambda df: scratch.write(df, small=True, few=F.count_if((F.col("n") <= leaf) & (F.col("lo") < F.col("hi"))), many=F.count_if((F.col("n") > leaf) & (F.col("lo") < F.col("hi"))))
+    whole = counts.select("g", F.lit(0).alias("seg"), F.lit(0).alias("part"), "n", F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"), ks.alias("ks"))
+    segs = first = ranges(whole)
     found: list[DataFrame] = []
-    leaves: list[tuple[DataFrame, DataFrame]] = [(rows, segs.filter(F.col("n") <= leaf))]
-    while (big := segs.filter(F.col("n") > leaf)).count():
-        act = rows.join(small_side(big.select("g", "seg")), ["g", "seg"]).withColumn("pid", F.spark_partition_id())
-        own = act.groupBy("g", "seg", "pid").agg(F.percentile_approx("x", 0.5, 200).alias("m"), F.count("*").alias("w"))
-        over = Window.partitionBy("g", "seg")
-        reached = F.sum("w").over(over.orderBy("m").rangeBetween(Window.unboundedPreceding, 0)) * 2 >= F.sum("w").over(over)
-        pivots = scratch.write(own.withColumn("reached", reached).filter("reached").groupBy("g", "seg").agg(F.min("m").alias("p")))
-        bcast = small_side(pivots)
-        sided = rows.join(bcast, ["g", "seg"]).withColumn("side", F.signum(F.col("x") - F.col("p")).cast("int"))
-        sided = sided.withColumn("side", F.when(F.col("x") == F.col("p"), 0).otherwise(F.col("side")))  # inf - inf is NaN
-        c = sided.groupBy("g", "seg").agg(F.count_if(F.col("side") < 0).alias("lt"), F.count_if(F.col("side") == 0).alias("eq"), F.count_if(F.col("side") > 0).alias("gt"))
-        told = big.join(c, ["g", "seg"]).join(bcast, ["g", "seg"])
-        each = told.select("g", "seg", "p", "lt", "eq", "gt", F.inline("ks"))
-        side = F.when(F.col("k") <= F.col("lt"), -1).when(F.col("k") <= F.col("lt") + F.col("eq"), 0).otherwise(1)
-        each = scratch.write(each.withColumn("side", side))
-        found.append(each.filter("side = 0").select("g", "i", F.col("p").alias("x")))
-        moved = F.when(F.col("side") < 0, F.col("k")).otherwise(F.col("k") - F.col("lt") - F.col("eq"))
-        n = F.first(F.when(F.col("side") < 0, F.col("lt")).otherwise(F.col("gt")))
+    rounds = 0
+    while True:
+        hint = F.broadcast if is_small(segs) else lambda df: df
+        live = segs.filter("lo < hi").select("g", "seg", "n", "ks")
+        if segs.told["few"]:
+            held = rows.join(hint(live.filter(F.col("n") <= leaf)), key).groupBy(*key).agg(F.sort_array(F.collect_list("x")).alias("xs"), F.first("ks").alias("ks"))
+            found.append(held.select("g", "xs", F.inline("ks")).select("g", "i", F.element_at("xs", F.col("k").cast("int")).alias("x")))
+        if not segs.told["many"]:
+            break
+        rounds += 1
+        big = live.filter(F.col("n") > leaf)
+        pivots = small_side(scratch.write(_pivots(rows.join(hint(big.select(*key)), key)), small=True))
+        ps = [F.col(f"p{j}") for j in range(PROPOSED)]
+        at = sum((F.when(F.col("x") > p, 2).otherwise(0) for p in ps[1:]), F.when(F.col("x") > ps[0], 2).otherwise(0))
+        part = at + F.when(functools.reduce(lambda a, b: a | b, [F.col("x") == p for p in ps]), 1).otherwise(0)
+        parted = rows.join(pivots, key).select(*key, "x", part.alias("part"))
+        c = parted.groupBy(*key, "part").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        upto = F.sum("n").over(Window.partitionBy(*key).orderBy("part"))
+        told = c.withColumn("upto", upto).join(hint(big.select(*key, "ks")), key).select(*key, "part", "n", "lo", "hi", "upto", F.inline("ks"))
+        told = told.filter((F.col("k") <= F.col("upto")) & (F.col("k") > F.col("upto") - F.col("n"))).withColumn("k", F.col("k") - F.col("upto") + F.col("n"))
         # a range is named by its smallest wanted percentile, which no other range of the group holds
-        nxt = each.filter("side != 0").groupBy("g", "seg", "side").agg(F.min("i").alias("to"), n.alias("n"), F.collect_list(F.struct("i", moved.alias("k"))).alias("ks"))
-        nxt = scratch.write(nxt)
-        new_rows = scratch.write(sided.join(small_side(nxt.select("g", "seg", "side", "to")), ["g", "seg", "side"]).select("g", F.col("to").alias("seg"), "x"))
-        segs = nxt.select("g", F.col("to").alias("seg"), "n", "ks")
-        rows = new_rows
-        leaves.append((rows, segs.filter(F.col("n") <= leaf)))
-    for r, s in leaves:
-        at = r.join(s.select("g", "seg"), ["g", "seg"]).groupBy("g", "seg").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-        found.append(at.join(s, ["g", "seg"]).select("g", "xs", F.inline("ks")).select("g", "i", F.element_at("xs", F.col("k").cast("int")).alias("x")))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
+        each = told.groupBy(*key, "part").agg(F.min("i").alias("to"), F.first("n").alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.collect_list(F.struct("i", "k")).alias("ks"))
+        left = ranges(each)
+        found.append(left.filter("lo = hi").select("g", "lo", F.inline("ks")).select("g", "i", F.col("lo").alias("x")))
+        left_hint = F.broadcast if is_small(left) else lambda df: df
+        rows = scratch.write(parted.join(left_hint(left.filter("lo < hi").select(*key, "part", "to")), [*key, "part"]).select("g", F.col("to").alias("seg"), "x"))
+        segs = _named(left)
+    out = functools.reduce(DataFrame.unionByName, found) if found else first.select("g", F.lit(0).alias("i"), F.lit(0.0).alias("x"))
     q = F.element_at(F.array(*[F.lit(float(q)) for q in quantiles]), F.col("i") + 1)
     cols = [F.col("g")[c].alias(c) for c in by]
-    return out.join(totals, "g").select(*cols, q.alias("q"), F.col("total").alias("n"), F.col("x").alias("value"))
+    out = out.join(first.select("g", F.col("n").alias("total")), "g").select(*cols, q.alias("q"), F.col("total").alias("n"), F.col("x").alias("value"))
+    out.rounds = rounds
+    return out
+
+
+def _named(left: DataFrame) -> DataFrame:
+    """The ranges that are left under their new names, with what was told of them."""
+    out = left.select("g", F.col("to").alias("seg"), "n", "lo", "hi", "ks")
+    out.told = left.told
+    return out
+
+
+def _pivots(rows: DataFrame) -> DataFrame:
+    """g, seg, p0, p1 ...: for each range the weighted medians of what its partitions propose, which are values of the range."""
+    tiles = [(j + 1) / (PROPOSED + 1) for j in range(PROPOSED)]
+    own = rows.groupBy("g", "seg", F.spark_partition_id().alias("pid")).agg(F.percentile_approx("x", tiles, 200).alias("m"), F.count("*").alias("w"))
+    each = own.select("g", "seg", "w", F.posexplode("m").alias("j", "m"))
+    over = Window.partitionBy("g", "seg", "j")
+    reached = F.sum("w").over(over.orderBy("m").rangeBetween(Window.unboundedPreceding, 0)) * 2 >= F.sum("w").over(over)
+    best = each.withColumn("reached", reached).filter("reached").groupBy("g", "seg")
+    return best.agg(*[F.min(F.when(F.col("j") == j, F.col("m"))).alias(f"p{j}") for j in range(PROPOSED)])
 
 
 def summarise(df: DataFrame, by: list[str], value: str, alpha: float = ALPHA) -> DataFrame:

@@ -59,3 +59,19 @@ def test_misstated_batches(spark):
     r = r.withColumn("created_at", F.when(F.col("n") == 1, t(1)).otherwise(t(2)))
     b = spark.createDataFrame([(1, "v", "s1", "tier1", 55.0), (1, "v", "s2", "tier1", 55.1), (1, "v", "s2", "tier1", 55.1), (1, "v", "s3", "tier1", None), (2, "v", "s4", "tier1", 3.0), (None, "v", "s5", "tier1", 3.0), (1, "v", "s6", "tier1", float("nan"))], "batch_id int, seed_version string, git_sha string, stage string, latency_p99_ms double")
     assert sorted(x["git_sha"] for x in S.misstated_batches(b, r).collect()) == ["s2", "s6"]
+
+
+def test_found_comes_through_the_selection(spark):
+    """The groups of p1_found on the real tables are parted by pivots, not merely sorted."""
+    from fieldloom.runtime import table
+
+    now = S.current_results(table(spark, "/root/testdata/sf0.01", "eval_results"))
+    out = S.multi_select(now, ["batch_id", "seed_version", "stage"], "latency_ms", [0.99])
+    assert out.rounds > 0 and out.count() == now.filter("latency_ms >= 0 and not isnan(latency_ms)").select("batch_id", "seed_version", "stage").distinct().count()
+
+
+def test_ranges_too_large_for_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(S, "is_small", lambda df: False)
+    monkeypatch.setattr(S, "small_side", lambda df: df)
+    r = random.Random(8)
+    check(spark, {"a": [r.random() for _ in range(500)], None: [float(r.randrange(9)) for _ in range(300)]}, 4)
