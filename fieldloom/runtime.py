@@ -9,11 +9,11 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a side whose row count has been measured may be broadcast.
-BROADCAST_ROWS = 100_000
+#: Rows up to which a written table is measured for a broadcast at all, and bytes up to which it then is broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 
 
 def session(app: str = "fieldloom", cpus: int = 8, memory: str = "8g") -> SparkSession:
@@ -56,39 +56,69 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Tables written into the shared folder: they cut lineage, survive the loss of executors and carry their size for the planner.
 
-    drop() removes a table no later step reads."""
+    drop() removes a table no later step reads; what a returned plan still reads is removed when the application ends."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
         self._n = 0
-        self._paths: dict[int, str] = {}
+        path, fs = hadoop(spark, self.root)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
 
-    def write(self, df: DataFrame, files: int | None = None) -> DataFrame:
-        """Writes df and reads it back. files: at most so many output files, for tables known to be small."""
+    def write(self, df: DataFrame, files: int | None = None, small: bool = False, **told: Column) -> DataFrame:
+        """Writes df and reads it back. files: that many output files, for tables known to be small; what made their rows stays parallel.
+
+        As it is written its rows are counted, and the aggregates told, which the result's attribute told then holds by name; small: its bytes too, for small_side().
+        Counts are sums over tasks, and a task that ran twice counts twice."""
         self._n += 1
         path = f"{self.root}/{self._n}"
-        (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
+        seen = Observation()
+        told |= {"bytes": _bytes(df)} if small else {}
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in told.items()])
+        (counted.repartition(files) if files else counted).write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
-        out._scratch_path = path
+        out._scratch_path, out.told = path, seen.get
         return out
 
-    def drop(self, df: DataFrame) -> None:
-        path = getattr(df, "_scratch_path", None)
-        if path:
-            jvm = self.spark._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+    def drop(self, *tables: DataFrame | None) -> None:
+        for df in tables:
+            if where := getattr(df, "_scratch_path", None):
+                path, fs = hadoop(self.spark, where)
+                fs.delete(path, True)
+
+
+def hadoop(spark: SparkSession, where: str):
+    """(path, file system) of a path, as the JVM sees them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
 
+def _bytes(df: DataFrame) -> Column:
+    """Bytes of rows as text, which is more than they take in memory but for headers."""
+    return F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0))
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if its measured row count is within limit; beyond it the join is left to the planner, whose skew handling splits hot keys.
 
-    df has to be cheap to count, that is a written table."""
-    return F.broadcast(df) if df.count() <= limit else df
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> bool:
+    """Whether the measured rows and bytes of a written table are within the limits of a broadcast; bytes not told as it was written are measured now, if its rows are within theirs."""
+    told = getattr(df, "told", {})
+    n = told["rows"] if told else df.count()
+    return n <= rows and (told["bytes"] if "bytes" in told else df.agg(_bytes(df)).first()[0]) <= most
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint if is_small(); beyond that the join is left to the planner, whose skew handling splits hot keys."""
+    return F.broadcast(df) if is_small(df) else df
 
 
 def spread(df: DataFrame) -> DataFrame:
     """df in at least as many partitions as there are cores, for row-wise Python work over a table of few files."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, for jobs started where it is neither installed nor in the working folder."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    name = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="fieldloom-"), "fieldloom"), "zip", os.path.dirname(here), "fieldloom")
+    atexit.register(shutil.rmtree, os.path.dirname(name), ignore_errors=True)
+    spark.sparkContext.addPyFile(name)
