@@ -67,3 +67,20 @@ def test_comparable_values(spark):
 def test_misreadings(spark, rows):
     a = spark.createDataFrame([("d", "n", "1", "Anna", 0.9), ("d", "n", "2", "ANNA", 0.9), ("d", "n", "3a", "Ana", 0.9), ("d", "n", "3a", "Ana", 0.9), ("e", "n", "1", "x", 0.9), ("e", "n", "2", None, 0.9)], "doc_id string, field_name string, tier string, value string, confidence double")
     assert rows(C.misreadings(a)) == [("d", "n", "3a")]
+
+
+def test_columns_and_lists_come_to_the_same(spark, monkeypatch):
+    votes, _ = simulated(800, {"a": 0.95, "b": 0.8, "c": 0.65}, seed=4, spread=12)
+    votes = [(f"g{i % 3}", i, n, v, 1 + (i + len(n)) % 4) for _, i, n, v, _ in votes]
+    df = spark.createDataFrame(votes, SCHEMA)
+    fit = lambda: C.Consensus(df, "g", ["i"], values=True)
+    one = fit()
+    monkeypatch.setattr(C, "WIDE", 1)
+    two = fit()
+    assert one.wide and not two.wide and max(one.moved, two.moved) <= C.STILL
+    acc = lambda c: {(r["g"], r["reader"]): r["accuracy"] for r in c.reliabilities().collect()}
+    a, b = acc(one), acc(two)
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 0.01 for k in a)
+    of = lambda c: {(r["g"], r["i"]): (r["v"], r["votes"], r["votes_for"]) for r in c.decided().collect()}
+    x, y = of(one), of(two)
+    assert x.keys() == y.keys() and sum(x[k] != y[k] for k in x) <= 0.01 * len(x)
