@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldloom.llm.lookalike import examine, not_plain
+from fieldloom.llm.lookalike import not_plain, remembering, shared
 from fieldloom.runtime import Scratch, is_small, small_side, spread
 
 #: Accuracy that a reader is taken to have before anything is known, and the number of readings that this counts as.
@@ -27,21 +28,14 @@ STILL, DAMPED = 2e-3, 10
 SEXES = {"male": "m", "female": "f", "unknown": "u"}
 
 
-def _folded(s):
-    import pandas as pd
+def _folding(table):
+    """What folds a series of texts: canonical characters, case folded, without spaces. table: lookalike.shared()."""
 
-    known: dict[str, str] = {}
-    out = []
-    for t in s:
-        if t is None:
-            out.append(None)
-            continue
-        if t not in known:
-            if len(known) > 50_000:
-                known.clear()
-            known[t] = "".join(examine(t)[0].casefold().split())
-        out.append(known[t])
-    return pd.Series(out, dtype=object)
+    def run(s: pd.Series) -> pd.Series:
+        of = remembering(lambda t: "".join(table.value.examine(t)[0].casefold().split()))
+        return pd.Series([None if t is None else of(t) for t in s], dtype=object)
+
+    return run
 
 
 def _notation(c: Column, field: Column) -> Column:
@@ -61,7 +55,7 @@ def comparable(df: DataFrame, value: str, field: str, name: str = "v") -> DataFr
     c = F.col(value)
     odd = F.coalesce(not_plain(c), F.lit(False))
     plain = df.filter(~odd).withColumn(name, _notation(F.lower(F.replace(c, F.lit(" "), F.lit(""))), F.col(field)))
-    fold = F.pandas_udf(_folded, T.StringType())
+    fold = F.pandas_udf(_folding(shared(df.sparkSession)), T.StringType())
     return plain.unionByName(df.filter(odd).withColumn("__f", fold(c)).withColumn(name, _notation(F.col("__f"), F.col(field))).drop("__f"))
 
 
