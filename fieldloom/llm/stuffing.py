@@ -16,24 +16,22 @@ from fieldloom.runtime import Scratch, small_side, spread
 
 #: Characters of a block; a longer run is cut into equal parts.
 BLOCK = 2000
-#: Fewer characters than this are too few to judge; they count as no stuffing.
-LEAST = 80
-#: A block is extremely redundant up to this part of the ratio usual for its length and language; up to SOMEWHAT only with next to no sentence ends.
+#: A block is extremely redundant up to this part of the ratio usual for its language, length and figures; up to SOMEWHAT only text (of next to no figures) with next to no sentence ends, which in lists of figures tell nothing.
 EXTREME, SOMEWHAT = 0.62, 0.80
 #: Sentence ends a word: below FEW for somewhat redundant blocks; text of sentences has about 0.06.
 FEW, USUAL = 0.03, 0.10
-#: Part of words with digits from which a list is a log, an invoice or a code list.
-FIGURES = 0.16
-#: A block of sentences is about few keywords only up to this part of different words, each different sentence taken once, and up to this part of the usual ratio.
-SAME_WORDS, KEYED = 0.62, 0.50
+#: Up to this part of the usual ratio, each different sentence taken once, a block is about few keywords whatever its punctuation.
+KEYED = 0.54
+#: The ratio usual for lists of figures, which are of many makes, is that of the most redundant part of them; that of text is the median.
+REDUNDANT = 0.05
+#: Parts of words with digits that part blocks into kinds: text, code lists, invoices and logs each have a usual ratio of their own.
+FIGURES = (0.16, 0.30, 0.50)
 #: Part of a line within well-formed sentences from which the line counts as sentences.
 SENTENCES = 0.80
-#: Part of a block's characters within links from which it is a link list.
-LINKS = 0.50
-#: Blocks of sentences that a language and length class needs for a usual ratio of its own.
-ENOUGH = 30
-#: Ratios usual for classes of floor(log2(bytes)) where the corpus has too few blocks of sentences to tell.
-DEFAULT = {5: 0.95, 6: 0.90, 7: 0.80, 8: 0.69, 9: 0.60, 10: 0.50, 11: 0.45}
+#: Blocks that the next wider class counts as in the usual ratio of a class; the more blocks a class has the less the wider one tells.
+WEIGHT = 30
+#: Ratios of ordinary text by floor(log2(bytes)), the widest class of all: what a corpus is taken to be before it is seen; and the part of them that lists of figures are taken to have.
+DEFAULT, LISTS = {5: 0.95, 6: 0.90, 7: 0.80, 8: 0.69, 9: 0.60, 10: 0.50, 11: 0.45}, 0.5
 
 LINK = re.compile(
     r"(?:https?://|www\.)[^\s<>\"]+"
@@ -92,24 +90,26 @@ def runs(parts: list[str]) -> Iterator[list[str]]:
         yield cur
 
 
+def ratio_of(words: list[str]) -> tuple[int, float]:
+    """(bytes, compression ratio) of words; (0, 0.0) for none."""
+    kept = " ".join(words).encode("utf-8", "replace")
+    return len(kept), max(0, len(zlib.compress(kept, 6)) - 8) / len(kept) if kept else 0.0
+
+
 def measure(parts: list[str], is_sentences: bool) -> dict:
     """What is counted of a block. n: characters without white space; bytes, ratio: of its words, links and markup left out, as compressed; ends: sentence ends a word;
-    figures: part of words with digits; same: part of different words, each different sentence taken once; links: part of characters in links and markup."""
+    figures: part of words with digits; once_bytes, once: as bytes and ratio, with each different sentence taken once, so that repeated boilerplate isn't redundant."""
     text = "\n".join(parts)
     n = len("".join(text.split()))
     bare = MARKUP.sub(" ", text) if "<" in text else text
     bare = LINK.sub(" ", bare) if LINKISH.search(bare) else bare
     words = WORD.findall(bare.lower())
-    line = " ".join(words)
-    kept = line.encode("utf-8", "replace")
     said = sentences(bare)
-    once = dict.fromkeys(s.lower() for s in said)
-    different = WORD.findall(" ".join(once)) if once else words
-    return {
-        "sentences": is_sentences, "n": n, "bytes": len(kept), "ratio": max(0, len(zlib.compress(kept, 6)) - 8) / len(kept) if kept else 0.0,
-        "ends": len(said) / max(1, len(words)), "figures": len(FIGURE.findall(line)) / max(1, len(words)),
-        "same": len(set(different)) / max(1, len(different)), "links": 1 - len("".join(bare.split())) / max(1, n),
-    }
+    different = dict.fromkeys(s.lower() for s in said)
+    size, ratio = ratio_of(words)
+    once_bytes, once = ratio_of(WORD.findall(" ".join(different))) if len(different) < len(said) or different and not is_sentences else (size, ratio)
+    figures = len(FIGURE.findall(" ".join(words))) / max(1, len(words))
+    return {"sentences": is_sentences, "n": n, "bytes": size, "ratio": ratio, "ends": len(said) / max(1, len(words)), "figures": figures, "once_bytes": once_bytes, "once": once}
 
 
 def blocks(text: str | None) -> list[dict]:
@@ -123,7 +123,7 @@ def blocks(text: str | None) -> list[dict]:
     return [measure(r, k == 1) for k in (0, 1) for r in runs(kinds[k])]
 
 
-BLOCKS = "array<struct<sentences boolean, n int, bytes int, ratio double, ends double, figures double, same double, links double>>"
+BLOCKS = "array<struct<sentences boolean, n int, bytes int, ratio double, ends double, figures double, once_bytes int, once double>>"
 
 
 def measured_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -150,44 +150,58 @@ def measured_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return spread(some).mapInArrow(run, schema)
 
 
+def figure_class(figures: Column) -> Column:
+    """0 for text of next to no figures, up to len(FIGURES) for text of mostly figures."""
+    return sum((F.when(figures >= f, 1).otherwise(0) for f in FIGURES), F.lit(0))
+
+
 def length_class(n: Column) -> Column:
     return F.least(F.lit(11), F.greatest(F.lit(5), F.floor(F.log2(F.greatest(F.lit(1), n))))).cast("int")
 
 
-def usual_ratios(measured: DataFrame) -> tuple[DataFrame, dict[int, float]]:
-    """(lang, cls, usual): the median ratio of the corpus's blocks of sentences, for each language and length class with ENOUGH of them; and by class for the others."""
-    each = measured.select("lang", F.inline("blocks")).filter("sentences and bytes > 0").select("lang", length_class(F.col("bytes")).alias("cls"), "ratio")
-    of_lang = each.groupBy("lang", "cls").agg(F.percentile_approx("ratio", 0.5, 1000).alias("usual"), F.count("*").alias("m")).filter(F.col("m") >= ENOUGH).drop("m")
-    of_class = {x["cls"]: x["usual"] for x in each.groupBy("cls").agg(F.percentile_approx("ratio", 0.5, 1000).alias("usual"), F.count("*").alias("m")).filter(F.col("m") >= ENOUGH).collect()}
-    return of_lang, DEFAULT | of_class
+def usual_ratios(measured: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(lang, figured, cls, usual) and, for all languages together, (figured, cls, of_all): the ratio usual for a class of blocks, by language, part of figures, and length. The median of the class (lists of figures: the quantile REDUNDANT) is drawn towards that of all languages,
+    and this towards DEFAULT, by their numbers of blocks and WEIGHT. Ordinary text is made of sentences; ordinary lists of figures are not.
+
+    A row a language and class, of which there are few; a class that a corpus lacks has no row, and nothing to be looked up for it."""
+    each = measured.select("lang", F.inline("blocks")).filter("bytes > 0").withColumn("figured", figure_class(F.col("figures"))).filter("sentences = (figured = 0)")
+    each = each.select("lang", "figured", length_class(F.col("bytes")).alias("cls"), "ratio")
+    median = F.when(F.col("figured") > 0, F.percentile_approx("ratio", REDUNDANT, 1000)).otherwise(F.percentile_approx("ratio", 0.5, 1000)).alias("median")
+    two = each.groupingSets([["lang", "figured", "cls"], ["figured", "cls"]], "lang", "figured", "cls").agg(median, F.count("*").alias("m"), F.grouping("lang").alias("wide"))
+    two = scratch.write(two, 1)
+    prior = F.element_at(F.create_map(*[F.lit(x) for kv in DEFAULT.items() for x in kv]), F.col("cls")) * F.when(F.col("figured") > 0, LISTS).otherwise(1.0)
+    drawn = lambda m, own, to: (m * own + WEIGHT * to) / (m + WEIGHT)
+    wide = two.filter("wide = 1").select("figured", "cls", drawn(F.col("m"), F.col("median"), prior).alias("of_all"))
+    return two.filter("wide = 0").join(F.broadcast(wide), ["figured", "cls"]).select("lang", "figured", "cls", drawn(F.col("m"), F.col("median"), F.col("of_all")).alias("usual")), wide
+
 
+def is_stuffed(b: Column, relative: Column, once: Column) -> Column:
+    """Whether a block b (BLOCKS) is stuffing. relative: its ratio against the usual one; once: the same with each different sentence taken once.
 
-def is_stuffed(relative: Column) -> Column:
-    """Whether a block (columns of BLOCKS) is stuffing. relative: its ratio against the usual one."""
-    listed = ~F.col("sentences") & (F.col("figures") < FIGURES) & (((relative <= EXTREME) & (F.col("ends") < USUAL)) | ((relative <= SOMEWHAT) & (F.col("ends") < FEW)))
-    linked = ~F.col("sentences") & (F.col("links") >= LINKS) & (F.col("ends") < FEW)
-    keyed = (relative <= KEYED) & (F.col("same") <= SAME_WORDS) & (F.col("figures") < FIGURES)
-    return (F.col("n") >= LEAST) & (listed | linked | keyed)
+    Extreme redundancy is confirmed by few sentence ends; keywords put into sentences, which do have full stops, are redundant even if no sentence is taken twice."""
+    listed = ~b["sentences"] & (((relative <= EXTREME) & (b["ends"] < USUAL)) | ((relative <= SOMEWHAT) & (b["ends"] < FEW) & (b["figures"] < FIGURES[0])))
+    return listed | (once <= KEYED)
 
 
 def stuffing_scores(docs: DataFrame) -> DataFrame:
     """doc_id, chars, stuffed_chars, share of each row of docs (doc_id, text, lang) with a text that isn't blank; characters without white space.
 
-    Null and blank texts have no row; repeated rows have one each; a null or wrong lang only changes what is usual; extra columns don't matter."""
+    Null and blank texts have no row; repeated rows have one each; a null or wrong lang only changes what is usual; extra columns don't matter. The blocks of a row are summed up where they lie."""
     scratch = Scratch(docs.sparkSession, "stuffing")
     m = scratch.write(measured_blocks(docs))
-    of_lang, of_class = usual_ratios(m)
-    of_lang = scratch.write(of_lang, 1)
-    # a row a language; languages are few, and the size is checked all the same
-    maps = of_lang.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("cls", "usual"))).alias("of"))
-    maps = small_side(scratch.write(maps, 1))
-    other = F.create_map(*[F.lit(x) for k, v in sorted(of_class.items()) for x in (int(k), float(v))])
-    b = m.join(maps, "lang", "left").withColumn("row", F.monotonically_increasing_id()).select("doc_id", "row", "of", F.inline("blocks"))
-    cls = length_class(F.col("bytes"))
-    relative = F.col("ratio") / F.coalesce(F.try_element_at("of", cls), F.try_element_at(other, cls))
-    b = b.select("doc_id", "row", "n", is_stuffed(relative).alias("stuffed"))
-    # the blocks of a row lie side by side in one partition; the sum is keyed by row, so rows that repeat stay apart
-    s = b.groupBy("row", "doc_id").agg(F.sum("n").alias("chars"), F.sum(F.when(F.col("stuffed"), F.col("n")).otherwise(0)).alias("stuffed_chars"))
+    of_lang, of_all = usual_ratios(m, scratch)
+    key = lambda figures, n: figure_class(figures) * 100 + length_class(n)
+    named = F.col("figured") * 100 + F.col("cls")
+    as_map = lambda df, by, value, name: df.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct(named, value))).alias(name))
+    # a row a language, each of at most 28 numbers; languages are few, and the size is checked all the same
+    maps = small_side(scratch.write(as_map(of_lang, ["lang"], "usual", "of"), 1, small=True))
+    every = as_map(of_all, [], "of_all", "of").first()["of"] or {}
+    every = {k * 100 + c: v * (LISTS if k else 1.0) for k in range(len(FIGURES) + 1) for c, v in DEFAULT.items()} | every
+    other = F.create_map(*[F.lit(x) for kv in sorted(every.items()) for x in kv])
+    usual = lambda b, n: F.coalesce(F.try_element_at(F.col("of"), key(b["figures"], n)), F.try_element_at(other, key(b["figures"], n)))
+    stuffed = lambda b: is_stuffed(b, b["ratio"] / usual(b, b["bytes"]), b["once"] / usual(b, b["once_bytes"]))
+    total = lambda keep: F.aggregate("blocks", F.lit(0).cast("long"), lambda s, b: s + F.when(keep(b), b["n"]).otherwise(0))
+    s = m.filter(F.size("blocks") > 0).join(maps, "lang", "left").select("doc_id", total(lambda b: F.lit(True)).alias("chars"), total(stuffed).alias("stuffed_chars"))
     return s.select("doc_id", "chars", "stuffed_chars", (F.col("stuffed_chars") / F.col("chars")).alias("share"))
 
 
