@@ -11,7 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,11 +95,12 @@ def serialise(tokens: list[bytes]) -> bytes:
 class Encoder:
     """Encodes and decodes texts with one vocabulary."""
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: str | list[bytes]):
+        """vocabulary: the path of a rank file, or its tokens by rank."""
         import regex
         import sentencepiece
 
-        self.tokens = read_ranks(path)
+        self.tokens = read_ranks(vocabulary) if isinstance(vocabulary, str) else vocabulary
         self._model = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.tokens))
         self._cut = regex.compile(PRE_TOKENS).findall
         letters = byte_letters()
@@ -132,16 +133,38 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder a worker process."""
+    """One encoder of a vocabulary file."""
     return Encoder(path)
 
 
+_shared: dict[tuple[str, str], tuple] = {}
+_of_worker: dict[int, Encoder] = {}
+
+
+def shared(spark: SparkSession, path: str):
+    """The vocabulary as a broadcast variable, read where the driver is, once an application: about a megabyte, whatever the corpus."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _shared:
+        _shared[key] = spark.sparkContext.broadcast(read_ranks(path))
+    return _shared[key]
+
+
+def worker_encoder(vocabulary) -> Encoder:
+    """One encoder a worker process, of the vocabulary that was broadcast."""
+    tokens = vocabulary.value
+    if id(tokens) not in _of_worker:
+        _of_worker.clear()
+        _of_worker[id(tokens)] = Encoder(tokens)
+    return _of_worker[id(tokens)]
+
+
 def _mapped(docs: DataFrame, id_col: str, text_col: str, path: str, name: str, only_count: bool) -> DataFrame:
     kind = T.LongType() if only_count else T.ArrayType(T.IntegerType())
     schema = T.StructType([docs.schema[id_col], T.StructField(name, kind)])
+    vocabulary = shared(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = worker_encoder(vocabulary)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for at in range(0, batch.num_rows, 500):  # bounds the ids held at once
@@ -172,11 +195,11 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def decode_documents(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None, name: str = "text") -> DataFrame:
     """The inverse mapping: the text of each list of ids; a null list gives null."""
-    path = path or vocabulary_path()
+    vocabulary = shared(encoded.sparkSession, path or vocabulary_path())
 
     @F.pandas_udf(T.StringType())
     def back(s: pd.Series) -> pd.Series:
-        enc = encoder(path)
+        enc = worker_encoder(vocabulary)
         return s.map(lambda ids: None if ids is None else enc.decode(ids))
 
     return encoded.select(id_col, back(ids_col).alias(name))
