@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 STATES = (
     "AL AK AZ AR CA CO CT DE DC FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY"
 ).split()
+# Names that no file may have, the number of a box before a label, words of a label.
+RESERVED = ["con", "prn", "aux", "nul", *[f"{device}{i}" for device in ("com", "lpt") for i in range(10)]]
+BOX_NUMBER = r"^\s*(?:[0-9][0-9A-Z]{0,2}|[A-Z][A-E])\s*[.,]\s*"
+LABEL_WORD = "[A-Z0-9']+"
 #: Dates outside are not taken for dates on a form.
 FIRST_DAY, LAST_DAY = "1900-01-01", "2100-12-31"
 #: Fixed value: salt of the hash that splits documents.
@@ -61,7 +65,7 @@ def plain_date(c: Column) -> Column:
     """iso_date of a text as it is written, without NFKC, which validators don't apply."""
     t = F.trim(F.regexp_replace(c, SPACE, " "))
     d = F.coalesce(F.try_to_date(t, "M/d/yyyy"), F.try_to_date(t, "yyyy-M-d"), F.try_to_date(t, "M-d-yyyy"))
-    return F.when(t.rlike(r"^(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4})$"), F.date_format(d, "yyyy-MM-dd"))
+    return F.when(t.rlike(r"^(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4})\z"), F.date_format(d, "yyyy-MM-dd"))
 
 
 def sex_code(c: Column) -> Column:
@@ -91,12 +95,12 @@ def birth_and_sex(c: Column) -> tuple[Column, Column]:
 
 def without_box_number(c: Column) -> Column:
     """A label without the box number before it, once."""
-    return F.regexp_replace(c, r"^\s*(?:[0-9][0-9A-Z]{0,2}|[A-Z][A-E])\s*[.,]\s*", "")
+    return F.regexp_replace(c, BOX_NUMBER, "")
 
 
 def label_words(c: Column) -> Column:
     """The upper-case words of a label."""
-    return F.regexp_extract_all(F.upper(c), F.lit("[A-Z0-9']+"), F.lit(0))
+    return F.regexp_extract_all(F.upper(c), F.lit(LABEL_WORD), F.lit(0))
 
 
 def word_index(words: Column, phrase: Column) -> Column:
@@ -108,13 +112,14 @@ def word_index(words: Column, phrase: Column) -> Column:
 
 
 def verdict(field: Column, value: Column) -> Column:
-    """Whether a value is valid for its field: dates within the range, zips, states and phones; null for fields without a rule, and for null values."""
+    """Whether a value, without white space at its ends, is valid for its field: dates within the range, zips, states and phones; null for fields without a rule, and for null values."""
+    value = stripped(value)
     date_field = field.rlike(r"^date_|_date$|_dob$|^date$")
     day = plain_date(value)
     digits = F.regexp_replace(value, r"[^0-9]", "")
     return (
         F.when(value.isNull(), F.lit(None).cast("boolean"))
-        .when(field.endswith("zip"), value.rlike(r"^\d{5}(-\d{4})?$"))
+        .when(field.endswith("zip"), value.rlike(r"^\d{5}(-\d{4})?\z"))
         .when(field.endswith("state"), F.upper(value).isin(*STATES))
         .when(field.endswith("phone"), F.length(digits) == 10)
         .when(date_field, F.coalesce(day.between(FIRST_DAY, LAST_DAY), F.lit(False)))
@@ -163,11 +168,10 @@ def is_sha256(c: Column) -> Column:
 
 
 def safe_stem(c: Column) -> Column:
-    """A name fit for a file: other characters as underscores; a digest in place of a reserved or empty name, or one that ends in a dot; 8 digits of the digest at the end."""
+    """A name fit for a file: other characters as underscores; a digest in place of a reserved or empty name (RESERVED, in any case), or one that ends in a dot; 8 digits of the digest at the end."""
     digest = F.sha2(c, 256)
     clean = F.regexp_replace(c, r"[^A-Za-z0-9._-]", "_")
-    reserved = F.upper(F.substring_index(clean, ".", 1)).rlike("^(CON|PRN|AUX|NUL|COM[1-9]|LPT[1-9])$")
-    bad = (clean == "") | clean.endswith(".") | reserved
+    bad = (clean == "") | clean.endswith(".") | F.lower(clean).isin(*RESERVED)
     return F.concat(F.when(bad, F.substring(digest, 1, 16)).otherwise(clean), F.lit("-"), F.substring(digest, 1, 8))
 
 
@@ -184,38 +188,30 @@ def unit_box(x1: Column, y1: Column, x2: Column, y2: Column, width: Column, heig
     return F.when(whole, F.struct(clamp(x1, width).alias("x1"), clamp(y1, height).alias("y1"), clamp(x2, width).alias("x2"), clamp(y2, height).alias("y2")))
 
 
-def _span(text: str) -> str | None:
-    """The first balanced {...} of a text; braces in strings count."""
-    start, depth = text.find("{"), 0
-    for i in range(start, len(text)) if start >= 0 else ():
-        depth += (text[i] == "{") - (text[i] == "}")
-        if depth == 0:
-            return text[start : i + 1]
-    return None
+_object = json.JSONDecoder().raw_decode
+
+
+def _read_reply(text: str | None) -> dict:
+    """The JSON object in a reply. A reply that is JSON as a whole counts only if it is an object; else the object that begins at the first brace within a code block counts, else the one at the very first brace."""
+    try:
+        whole = json.loads(text or "")
+        return whole if isinstance(whole, dict) else {}
+    except (ValueError, RecursionError):
+        pass
+    text = text or ""
+    for at in (text.find("{", max(0, text.find("```"))) if "```" in text else -1, text.find("{")):
+        try:
+            if at >= 0:
+                return _object(text, at)[0]
+        except (ValueError, RecursionError):
+            continue
+    return {}
 
 
 @F.pandas_udf(T.StringType())
 def reply_object(s: pd.Series) -> pd.Series:
-    """The JSON object in a reader's reply, as compact JSON: the reply itself, else a fenced block, else the first balanced braces; {} where there is none or the reply is other JSON."""
-
-    def one(text: str | None) -> str:
-        if not text:
-            return "{}"
-        try:
-            whole = json.loads(text)
-            return json.dumps(whole) if isinstance(whole, dict) else "{}"
-        except ValueError:
-            pass
-        fenced = re.search(r"```(?:json)?\s*(\{.*?\})\s*```", text, re.S)
-        for part in (fenced and fenced.group(1), _span(text)):
-            try:
-                if part and isinstance(found := json.loads(part), dict):
-                    return json.dumps(found)
-            except ValueError:
-                continue
-        return "{}"
-
-    return s.map(one)
+    """The JSON object in a reader's reply, as compact JSON; {} where there is none, for a null or empty reply, and for a reply that is other JSON."""
+    return s.map(lambda t: json.dumps(_read_reply(t)), na_action=None)
 
 
 def reply_fields(content: Column) -> Column:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldloom.functions.text import label_words, stripped, title, without_box_number
 
 #: Similarity from which a label counts as matched, score from which a document is routed at once, characters of a label looked at.
 MATCH_FLOOR, ROUTE_AT, LABEL_CHARS = 0.3, 1.0, 512
-#: Aliases that may be held as a literal in a plan; a dictionary beyond that is refused, not cut.
+#: Aliases that a task holds at once; larger vocabularies come in blocks.
 VOCABULARY_ROWS = 10_000
 
 
@@ -40,17 +44,39 @@ def distinctive(dictionary: DataFrame) -> DataFrame:
     return a.filter("vertical = 'healthcare'").groupBy("alias").agg(F.count("*").alias("n")).join(other, "alias", "left_anti").select("alias", (1 / F.col("n")).alias("weight"))
 
 
-def score_texts(docs: DataFrame, vocabulary: DataFrame, text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, vocabulary: DataFrame, text: str = "text", block: int = VOCABULARY_ROWS) -> DataFrame:
     """docs with score: the sum of the weights of the aliases that its upper-cased text contains, each once; null texts score 0.
 
-    The vocabulary is one row set of a dictionary, measured and held as a literal, so each text is passed over where it lies, without join or shuffle."""
-    rows = vocabulary.orderBy("alias").limit(VOCABULARY_ROWS + 1).collect()
-    if len(rows) > VOCABULARY_ROWS:
-        raise ValueError(f"a vocabulary of more than {VOCABULARY_ROWS} aliases")
-    words = F.array(*[F.struct(F.lit(r["alias"]).alias("a"), F.lit(float(r["weight"])).alias("w")) for r in rows]) if rows else F.array().cast("array<struct<a string, w double>>")
-    upper = docs.withColumn("_upper", F.upper(F.coalesce(F.col(text), F.lit(""))))
-    score = F.aggregate(words, F.lit(0.0), lambda s, x: s + F.when(F.contains(F.col("_upper"), x["a"]), x["w"]).otherwise(0.0))
-    return upper.withColumn("score", score).drop("_upper")
+    The vocabulary comes in blocks of that many aliases, in order; each is searched for in one walk over a text where it lies, without join or shuffle."""
+    rows = vocabulary.select("alias", F.col("weight").cast("double").alias("weight")).orderBy("alias").toLocalIterator()
+    out, parts = docs.withColumn("_upper", F.upper(F.coalesce(F.col(text), F.lit("")))), []
+    while chunk := [(r["alias"], r["weight"]) for _, r in zip(range(block), rows)]:
+        parts.append(f"_score{len(parts)}")
+        out = out.withColumn(parts[-1], _scored(dict(chunk))(F.col("_upper")))
+    total = sum((F.col(p) for p in parts), F.lit(0.0))
+    return out.withColumn("score", total).drop("_upper", *parts)
+
+
+def _scored(weights: dict[str, float]):
+    """What sums up the weights of the words in a text, as an Arrow UDF: by an automaton over all of them where there is one, else word by word."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        always = weights.get("", 0.0)  # every text contains nothing
+        try:
+            import ahocorasick
+
+            search = ahocorasick.Automaton()
+            for a in weights:
+                if a:
+                    search.add_word(a, a)
+            search.make_automaton()
+            found = (lambda t: {a for _, a in search.iter(t)}) if len(search) else (lambda t: ())
+        except ImportError:
+            found = lambda t: {a for a in weights if a and a in t}
+        for s in batches:
+            yield s.map(lambda t: always + sum(weights[a] for a in sorted(found(t)))).astype("float64")
+
+    return F.pandas_udf(run, T.DoubleType())
 
 
 def routed(score: Column, second: Column) -> tuple[Column, Column]:
@@ -78,9 +104,7 @@ def match_labels(labels: DataFrame, dictionary: DataFrame, label: str = "label")
     a = aliases(dictionary).join(pos, ["field", "vertical"]).withColumn("words", label_words(F.col("alias"))).filter(F.size("words") > 0)
     a = a.select("field", "vertical", "field_pos", "alias_pos", "alias", F.upper("alias").alias("upper"), F.array_join("words", " ").alias("run"), F.size("words").alias("len"))
     most = a.agg(F.max("len")).first()[0] or 1
-    clean = F.substring(without_box_number(F.upper(F.col(label))), 1, LABEL_CHARS)
     one = labels.filter(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct().withColumn("clean", F.substring(without_box_number(F.upper("label")), 1, LABEL_CHARS)).withColumn("words", label_words(F.col("clean")))
-    del clean
     starts = F.sequence(F.lit(1), F.size("words"))
     runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size("words") - i + 1)), lambda n: F.array_join(F.slice("words", i, n), " "))))
     each = one.filter(F.size("words") > 0).select("label", "clean", F.explode(F.array_distinct(runs)).alias("run"))

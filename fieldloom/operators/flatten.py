@@ -58,9 +58,7 @@ def _resources(bundles: DataFrame, kind: str, key: str) -> DataFrame:
 
 def patients(bundles: DataFrame, key: str = "bundle") -> DataFrame:
     """key and the flat patient of each bundle (columns of BUNDLE): first name, address and phone, and the start and reason of the latest encounter; malformed entries and times are skipped, and among equal starts the first entry counts."""
-    one = F.first("r", ignorenulls=True)
     p = _resources(bundles, "Patient", key).groupBy(key).agg(F.min_by("r", "pos").alias("r"))
-    del one
     name, address = F.get("r.name", F.lit(0)), F.get("r.address", F.lit(0))
     phone = F.get(F.filter("r.telecom", lambda t: t["system"] == "phone"), F.lit(0))["value"]
     flat = p.select(

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +16,8 @@ from fieldloom.operators.dictionary import match_labels
 ROWS, COLUMNS, CELL_CHARS = 200, 32, 512
 CONFIRMED, UNCONFIRMED = 0.9, 0.84
 
+# Fixed value: what stands between a label and its value in one text.
+SEPARATOR = r"^[\s:\-–—\t]+"
 CELLS = "array<struct<row_no int, cell_no int, text string, first_col int, end_col int>>"
 
 
@@ -107,7 +108,7 @@ def value_after(text: Column, alias: Column) -> Column:
     quoted = F.concat(F.lit(r"(?i)(?<!\w)\Q"), alias, F.lit(r"\E(?!\w)"))
     at = F.regexp_instr(text, quoted)
     rest = text.substr(at + F.length(alias), F.length(text))
-    return F.when(at > 0, F.nullif(F.rtrim(F.regexp_replace(rest, r"^[\s:\-–—\t]+", "")), F.lit("")))
+    return F.when(at > 0, F.nullif(F.rtrim(F.regexp_replace(rest, SEPARATOR, "")), F.lit("")))
 
 
 def single_passing(field: Column, value: Column) -> Column:
@@ -138,8 +139,3 @@ def best_offers(offered: DataFrame, block: list[str]) -> DataFrame:
     w = Window.partitionBy(*block, "field").orderBy(F.desc("validates"), F.desc("aligned"), F.desc("score"), "row_no", "label", "value")
     top = offered.withColumn("r", F.row_number().over(w)).filter("r = 1").drop("r")
     return top.withColumn("confidence", F.when(finalizes(F.col("field"), F.col("value")), CONFIRMED).otherwise(F.least(F.lit(UNCONFIRMED), F.col("score"))))
-
-
-def cell_frame(rows: list[dict]) -> pd.DataFrame:
-    """Cells as pandas, for small checks by hand."""
-    return pd.DataFrame(rows, columns=["row_no", "cell_no", "text", "first_col", "end_col"])

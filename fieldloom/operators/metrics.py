@@ -42,13 +42,8 @@ def cell_counts(value: Column, tier: Column, token: Column, truth: Column) -> di
 
 def summed(df: DataFrame, by: list[str], sets: list[list[str]]) -> DataFrame:
     """Counts summed for several groupings in one pass: by columns, one row set a list of sets; columns that a set leaves out are null."""
-    spec = ", ".join("(" + ", ".join(s) + ")" for s in sets)
-    view = df.select(*by, *[F.col(c).cast("long").alias(c) for c in COUNTS])
-    view.createOrReplaceTempView("_summed")
-    cols = ", ".join(by)
-    return df.sparkSession.sql(
-        f"SELECT {cols}, count(*) AS doc_count, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn, sum(blank) AS blank FROM _summed GROUP BY {cols} GROUPING SETS ({spec})"
-    )
+    counts = [F.sum(F.col(c).cast("long")).alias(c) for c in COUNTS]
+    return df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in by]).agg(F.count("*").alias("doc_count"), *counts)
 
 
 def nearest_rank(column: str, q: float) -> Column:

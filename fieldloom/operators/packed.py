@@ -139,9 +139,10 @@ class Cells:
 
 def reader(dictionary: DataFrame, literals: dict[str, tuple[str, ...]] = LITERALS) -> Cells:
     """The Cells of a dictionary, which is measured before it is held. Date fields go by data_type where there is one, and by name."""
-    rows = aliases(dictionary).select("vertical", "field", "alias_pos", "alias").orderBy("vertical", "field", "alias_pos").limit(VOCABULARY_ROWS + 1).collect()
-    if len(rows) > VOCABULARY_ROWS:
-        raise ValueError(f"a dictionary of more than {VOCABULARY_ROWS} aliases")
+    ordered = aliases(dictionary).select("vertical", "field", "alias_pos", "alias").orderBy("vertical", "field", "alias_pos")
+    if (n := ordered.count()) > VOCABULARY_ROWS:  # the words of one form's labels, which tasks hold; tables of any size go through dictionary.match_labels
+        raise ValueError(f"{n} aliases are no dictionary of a form")
+    rows = ordered.collect()
     kinds = {r["field"]: "date" for r in rows if re.search(r"^date_|_date$|_dob$|^date$", r["field"])}
     if "data_type" in dictionary.columns:
         kinds |= {r[0]: "date" for r in dictionary.filter("data_type = 'date'").select("canonical_name").collect()}

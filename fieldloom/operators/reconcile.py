@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions.text import comparable, same_reading, verdict
 
-# Gates and the confidences that agreement, a single reading and a disagreement give.
+# Fields of a health form that reader 1 can read; gates and the confidences that agreement, a single reading and a disagreement give.
+COVERED = ["first_name", "last_name", "address_street", "address_city", "address_state", "address_zip", "phone", "reason_for_visit", "date_of_birth", "date_signed", "sex"]
 ESCALATE_BELOW, REVIEW_BELOW = 0.85, 0.80
 AGREED, SINGLE, DISPUTED = 0.95, 0.85, 0.5
 
@@ -17,25 +18,26 @@ def escalates(tier: Column, value: Column, confidence: Column, gate: float = ESC
     return tier.isNull() | F.coalesce(value.isNotNull() & (confidence < gate), F.lit(False))
 
 
-READERS = {"1": "t1", "2": "t2", "3a": "t3"}
+#: Readers 1 and 2, and the strongest ones, of which the last that read a field counts.
+READERS = {"t1": ["1"], "t2": ["2"], "t3": ["3a", "3b"]}
 
 
 def by_reader(attempts: DataFrame) -> DataFrame:
-    """doc_id, field_name and, for readers 1, 2 and 3a as t1, t2 and t3: value, conf, key (what it is compared by), ok (its rule's verdict) and read. One aggregate in place of three joins; keys and verdicts are made once a reading."""
-    a = attempts.select("doc_id", "field_name", "tier", "value", "confidence").withColumns({"key": comparable(F.col("value")), "ok": verdict(F.col("field_name"), F.col("value"))})
-    cols = []
-    for t, n in READERS.items():
-        mine = F.struct(F.col("value").isNotNull(), "confidence", "value", "key", "ok")
-        cols += [F.max(F.when(F.col("tier") == t, mine)).alias(n), F.max(F.when(F.col("tier") == t, True)).alias(f"{n}_read")]
-    g = a.groupBy("doc_id", "field_name").agg(*cols)
-    out = [F.col(f"{n}.{c}").alias(f"{n}_{k}") for n in READERS.values() for c, k in (("value", "value"), ("confidence", "conf"), ("key", "key"), ("ok", "ok"))]
-    return g.select("doc_id", "field_name", *out, *[F.coalesce(F.col(f"{n}_read"), F.lit(False)).alias(f"{n}_read") for n in READERS.values()])
+    """doc_id, field_name and, for readers 1, 2 and the strongest as t1, t2 and t3: value, conf, key (what it is compared by), ok (its rule's verdict), tier and read.
+
+    One aggregate in place of three joins; keys and verdicts are made once a reading. Of several rows of a reader and field one with a value counts, the most confident."""
+    tiers = [t for ts in READERS.values() for t in ts]
+    a = attempts.filter(F.col("tier").isin(*tiers)).select("doc_id", "field_name", "tier", "value", "confidence").withColumns({"key": comparable(F.col("value")), "ok": verdict(F.col("field_name"), F.col("value"))})
+    mine = F.struct("tier", F.col("value").isNotNull(), "confidence", "value", "key", "ok")
+    g = a.groupBy("doc_id", "field_name").agg(*[F.max(F.when(F.col("tier").isin(*ts), mine)).alias(n) for n, ts in READERS.items()])
+    out = [F.col(f"{n}.{c}").alias(f"{n}_{k}") for n in READERS for c, k in (("value", "value"), ("confidence", "conf"), ("key", "key"), ("ok", "ok"), ("tier", "tier"))]
+    return g.select("doc_id", "field_name", *out, *[F.col(n).isNotNull().alias(f"{n}_read") for n in READERS])
 
 
 def route(wide: DataFrame, covered: list[str] | None = None) -> DataFrame:
     """wide with route: "uncovered" (kept at SINGLE), "agree" (readers 1 and 2 say the same) or "routed" to the strongest reader; null where reader 2 has nothing to settle.
 
-    covered: fields that reader 1 can read; None for all."""
+    covered: fields that reader 1 can read, such as COVERED; None for all."""
     is_covered = F.lit(True) if covered is None else F.col("field_name").isin(covered)
     return wide.withColumn("route", F.when(~is_covered & F.col("t2_value").isNotNull(), "uncovered").when(F.col("t1_key") == F.col("t2_key"), "agree").when(F.col("t2_read"), "routed"))
 
@@ -64,7 +66,7 @@ def reconcile(wide: DataFrame) -> DataFrame:
     out = out.withColumn("rule_no", F.when(against, 7).otherwise(F.col("_rule")))
     running = F.coalesce(F.when(F.col("t2_read"), F.col("t2_conf")), "t1_conf")
     confidence = F.when(F.col("rule_no").isin(1, 4), AGREED).when(F.col("rule_no").isin(5, 6, 7), DISPUTED).otherwise(running)
-    reader = F.when(F.col("_third"), "3a").when(F.col("t2_read"), "2").when(F.col("t1_read"), "1")
+    reader = F.when(F.col("_third"), F.coalesce("t3_tier", F.lit("3a"))).when(F.col("t2_read"), "2").when(F.col("t1_read"), "1")
     return out.withColumn("confidence", confidence).withColumn("reader", reader).drop("_rule", "_third")
 
 
@@ -87,7 +89,7 @@ def park_after_failure(resolved: DataFrame, failed: Column) -> DataFrame:
 
 def attribution(resolved: DataFrame) -> DataFrame:
     """reason, n: why values of the strongest reader were kept: it matched reader 1, reader 2 was blank, free text, or reader 2's value failed its rule."""
-    kept = resolved.filter((F.col("reader") == "3a") & F.col("chosen").isNotNull())
+    kept = resolved.filter(F.col("reader").isin(*READERS["t3"]) & F.col("chosen").isNotNull())
     second = F.col("t2_value").isNotNull()
     reason = (
         F.when(F.coalesce(F.col("chosen_key") == F.col("t1_key"), F.lit(False)), "matched").when(F.coalesce("t2_value", "t1_value").isNull(), "blank")
@@ -105,9 +107,9 @@ def merge_fields(running: DataFrame, higher: DataFrame, names: DataFrame) -> Dat
 
 
 def pair_agreement(attempts: DataFrame, a: str, b: str) -> DataFrame:
-    """field_name, n, agree, rate of two readers: both blank, or the same reading."""
-    one = lambda t: attempts.filter(F.col("tier") == t).groupBy("doc_id", "field_name").agg(F.max("value").alias(f"v{t}"))
-    va, vb = F.col(f"v{a}"), F.col(f"v{b}")
-    ok = (va.isNull() & vb.isNull()) | same_reading(va, vb)
-    pairs = one(a).join(one(b), ["doc_id", "field_name"]).select("field_name", ok.alias("ok"))
+    """field_name, n, agree, rate of two readers over what both have read: both blank, or the same reading. One scan and one aggregate; of several values of a reader the largest counts."""
+    one = lambda t, n: [F.max(F.when(F.col("tier") == t, F.col("value"))).alias(n), F.max(F.when(F.col("tier") == t, 1)).alias(f"{n}_read")]
+    both = attempts.filter(F.col("tier").isin(a, b)).groupBy("doc_id", "field_name").agg(*one(a, "va"), *one(b, "vb")).filter("va_read = 1 and vb_read = 1")
+    ok = (F.col("va").isNull() & F.col("vb").isNull()) | same_reading(F.col("va"), F.col("vb"))
+    pairs = both.select("field_name", ok.alias("ok"))
     return pairs.groupBy("field_name").agg(F.count("*").alias("n"), F.count_if("ok").alias("agree"), F.round(F.count_if("ok") / F.count("*"), 6).alias("rate"))

@@ -24,15 +24,17 @@ def max_sim(tokens: DataFrame, queries: DataFrame) -> DataFrame:
     """query, doc, score: the sum over a query's vectors of the largest cosine with a vector of doc.
 
     tokens: doc, vector. queries: query, token, vector, the stated query set, taken in blocks of BLOCK vectors: each block is one matrix product a batch of tokens, where they lie; the
-    largest value a batch, document and query vector is all that is shuffled. Null or empty vectors, and those of another length than the first query's, take no part."""
+    largest value a batch, document and query vector is all that is shuffled. The length of the first query vector, by query and token, holds for all;
+    null or empty vectors, and those of another length, take no part (unfit() counts them)."""
     spark = tokens.sparkSession
-    q = queries.filter("vector is not null and size(vector) > 0").select("query", "token", "vector").orderBy("query", "token")
+    some = queries.filter("vector is not null and size(vector) > 0").select("query", "token", "vector").orderBy("query", "token")
+    head = some.select(F.size("vector")).first()
+    dim = head[0] if head else 0
+    q = some.filter(F.size("vector") == dim)
     schema = "query string, token long, doc string, best double"
     parts: DataFrame | None = None
     rows = q.toLocalIterator()
     while block := [r for _, r in zip(range(BLOCK), rows)]:
-        dim = len(block[0]["vector"])
-        block = [r for r in block if len(r["vector"]) == dim]
         shared = spark.sparkContext.broadcast(([str(r["query"]) for r in block], [int(r["token"]) for r in block], unit_rows(np.array([r["vector"] for r in block], dtype=np.float64))))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared, dim=dim) -> Iterator[pd.DataFrame]:
@@ -56,6 +58,11 @@ def max_sim(tokens: DataFrame, queries: DataFrame) -> DataFrame:
     return best.groupBy("query", "doc").agg(F.sum("best").alias("score"))
 
 
+def unfit(vectors: DataFrame, dim: int, vector: str = "vector") -> int:
+    """How many rows have no vector of the length dim."""
+    return vectors.filter(~F.coalesce(F.size(vector) == dim, F.lit(False))).count()
+
+
 #: The first bytes of a packed matrix; then the numbers of rows and columns as 32-bit integers and the values as 32-bit floats, all little-endian, row by row.
 MAGIC = b"CQV1"
 

@@ -45,7 +45,7 @@ def stage_forms(attempts: DataFrame) -> DataFrame:
     wide = reconcile.route(reconcile.by_reader(attempts))
     first = wide.filter("t1_read").select(F.lit(STAGES[0]).alias("stage"), "doc_id", F.col("field_name").alias("field"), F.col("t1_value").alias("value"), F.lit("1").alias("tier"))
     asked = F.coalesce(F.col("route") == "routed", F.lit(False))
-    second = wide.withColumns({f"t3_{c}": F.when(asked, F.col(f"t2_{c}")) for c in ("value", "conf", "key", "ok")} | {"t3_read": asked & F.col("t2_read")})
+    second = wide.withColumns({f"t3_{c}": F.when(asked, F.col(f"t2_{c}")) for c in ("value", "conf", "key", "ok", "tier")} | {"t3_read": asked & F.col("t2_read")})
     done = lambda w, s: reconcile.reconcile(w).select(F.lit(s).alias("stage"), "doc_id", F.col("field_name").alias("field"), F.col("chosen").alias("value"), F.col("reader").alias("tier"))
     return first.unionByName(done(second, STAGES[1])).unionByName(done(wide, STAGES[2]))
 

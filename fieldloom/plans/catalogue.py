@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fieldloom.functions import text as X
 from fieldloom.operators import dictionary as D
 from fieldloom.operators import flatten, layout, metrics, reconcile, retrieval, store
+from fieldloom.plans import folding
 from fieldloom.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+RESERVED_LIST = ", ".join(f"'{n}'" for n in X.RESERVED)
 RESULT_KEY = ["doc_id", "batch_id", "seed_version", "stage"]
 MEASURED = "latency_ms >= 0 AND NOT isnan(latency_ms)"
 
@@ -188,46 +190,36 @@ def store_paths(spark: SparkSession, d: str) -> DataFrame:
     return m.select("image_sha256", store.content_path(F.col("image_sha256"), "store/", "/forms/", "png").alias("path")).distinct()
 
 
-@query("""SELECT DISTINCT doc_id, regexp_replace(doc_id, '[^A-Za-z0-9._-]', '_', 'g') || '-' || substr(sha256(doc_id), 1, 8) AS stem FROM manifest_entries WHERE doc_id IS NOT NULL""")
+@query(f"""SELECT DISTINCT doc_id, CASE WHEN c = '' OR right(c, 1) = '.' OR lower(c) IN ({RESERVED_LIST}) THEN substr(sha256(doc_id), 1, 16) ELSE c END || '-' || substr(sha256(doc_id), 1, 8) AS stem
+FROM (SELECT doc_id, regexp_replace(doc_id, '[^A-Za-z0-9._-]', '_', 'g') AS c FROM manifest_entries WHERE doc_id IS NOT NULL)""")
 def safe_stems(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "manifest_entries").filter("doc_id is not null").select("doc_id", X.safe_stem(F.col("doc_id")).alias("stem")).distinct()
 
 
 # ---- readings
 
-ASCII_NORM = "nullif(trim(regexp_replace(replace(lower({0}), 'ς', 'σ'), '[\\s\\p{{Z}}]+', ' ', 'g')), '')"
-
-
-def sql_date(c: str) -> str:
-    return (
-        f"CASE WHEN regexp_full_match(trim({c}), '\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}|\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}|\\d{{1,2}}-\\d{{1,2}}-\\d{{4}}') THEN strftime(coalesce("
-        f"CASE WHEN contains({c}, '/') THEN try_strptime(trim({c}), '%m/%d/%Y') END, CASE WHEN regexp_full_match(trim({c}), '\\d{{4}}-.*') THEN try_strptime(trim({c}), '%Y-%m-%d') END,"
-        f" CASE WHEN regexp_full_match(trim({c}), '\\d{{1,2}}-.*') THEN try_strptime(trim({c}), '%m-%d-%Y') END), '%Y-%m-%d') END"
-    )
-
-
-def sql_norm(c: str) -> str:
-    return f"coalesce({sql_date(c)}, {ASCII_NORM.format(c)})"
-
-
 STATE_LIST = ", ".join(f"'{s}'" for s in X.STATES)
 
 
 def sql_verdict(f: str, v: str) -> str:
+    v = f"regexp_replace({v}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
     return (
         f"CASE WHEN {v} IS NULL THEN NULL WHEN {f} LIKE '%zip' THEN regexp_full_match({v}, '\\d{{5}}(-\\d{{4}})?') WHEN {f} LIKE '%state' THEN upper({v}) IN ({STATE_LIST})"
         f" WHEN {f} LIKE '%phone' THEN length(regexp_replace({v}, '[^0-9]', '', 'g')) = 10"
-        f" WHEN regexp_matches({f}, '^date_|_date$|_dob$|^date$') THEN coalesce({sql_date(v)} BETWEEN '1900-01-01' AND '2100-12-31', false) END"
+        f" WHEN regexp_matches({f}, '^date_|_date$|_dob$|^date$') THEN coalesce({folding.date(v)} BETWEEN '1900-01-01' AND '2100-12-31', false) END"
     )
 
 
+READINGS = folding.folded("SELECT value AS v FROM field_attempts")
+
+
 @query(f"SELECT field_name, {sql_verdict('field_name', 'value')} AS verdict, count(*) AS n FROM field_attempts GROUP BY ALL")
 def verdicts(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "field_attempts")
     return a.groupBy("field_name", X.verdict(F.col("field_name"), F.col("value")).alias("verdict")).agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT field_name, count(*) AS n, count({sql_norm('value')}) AS filled, count(DISTINCT {sql_norm('value')}) AS different FROM field_attempts GROUP BY field_name")
+@query(f"WITH {READINGS} SELECT field_name, count(*) AS n, count(k) AS filled, count(DISTINCT k) AS different FROM field_attempts LEFT JOIN folded ON v = value GROUP BY field_name")
 def tokens_by_field(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "field_attempts").withColumn("t", X.comparable(F.col("value")))
     return a.groupBy("field_name").agg(F.count("*").alias("n"), F.count("t").alias("filled"), F.count_distinct("t").alias("different"))
@@ -247,16 +239,19 @@ def _reader(t: str, n: str) -> str:
     return f"""max(CASE WHEN tier = '{t}' THEN value END) AS {n}_value, max(CASE WHEN tier = '{t}' THEN confidence END) AS {n}_conf, coalesce(bool_or(tier = '{t}'), false) AS {n}_read"""
 
 
-RESOLVED = f"""w AS (SELECT doc_id, field_name, {_reader('1', 't1')}, {_reader('2', 't2')}, {_reader('3a', 't3')} FROM field_attempts GROUP BY doc_id, field_name),
-n AS (SELECT *, coalesce(t2_value, t1_value) AS f, {sql_norm('t1_value')} AS k1, {sql_norm('t2_value')} AS k2, {sql_norm('t3_value')} AS k3,
-  {sql_verdict('field_name', 't1_value')} AS ok1, {sql_verdict('field_name', 'coalesce(t2_value, t1_value)')} AS okf FROM w),
+RESOLVED = f"""{READINGS},
+ws AS (SELECT doc_id, field_name, {_reader('1', 't1')}, {_reader('2', 't2')}, {_reader('3a', 'ta')}, {_reader('3b', 'tb')} FROM field_attempts GROUP BY doc_id, field_name),
+w AS (SELECT *, CASE WHEN tb_read THEN tb_value ELSE ta_value END AS t3_value, ta_read OR tb_read AS t3_read, CASE WHEN tb_read THEN '3b' ELSE '3a' END AS t3_tier FROM ws),
+n AS (SELECT w.*, coalesce(t2_value, t1_value) AS f, f1.k AS k1, f2.k AS k2, f3.k AS k3, coalesce(f2.k, CASE WHEN t2_value IS NULL THEN f1.k END) AS kf,
+  {sql_verdict('field_name', 't1_value')} AS ok1, {sql_verdict('field_name', 'coalesce(t2_value, t1_value)')} AS okf
+  FROM w LEFT JOIN folded f1 ON f1.v = t1_value LEFT JOIN folded f2 ON f2.v = t2_value LEFT JOIN folded f3 ON f3.v = t3_value),
 r AS (SELECT *, CASE WHEN coalesce(ok1, true) THEN t1_value END AS a, CASE WHEN coalesce(ok1, true) THEN k1 END AS ka,
   CASE WHEN k1 = k2 THEN 'agree' WHEN t2_read THEN 'routed' END AS route FROM n),
 q AS (SELECT *, CASE WHEN NOT t3_read THEN 0 WHEN coalesce(k3 = ka, false) THEN 1 WHEN f IS NULL AND t3_value IS NULL AND NOT t2_read AND NOT t1_read THEN 2 WHEN f IS NULL AND t3_value IS NULL THEN 3
   WHEN f = t3_value THEN 4 WHEN t3_value IS NULL OR (f IS NOT NULL AND coalesce(okf, false)) THEN 5 ELSE 6 END AS rule0 FROM r),
-c AS (SELECT *, CASE WHEN rule0 IN (1, 2, 6) THEN t3_value ELSE f END AS chosen, CASE WHEN rule0 IN (1, 2, 6) THEN k3 ELSE {sql_norm('f')} END AS kc FROM q),
+c AS (SELECT *, CASE WHEN rule0 IN (1, 2, 6) THEN t3_value ELSE f END AS chosen, CASE WHEN rule0 IN (1, 2, 6) THEN k3 ELSE kf END AS kc FROM q),
 resolved AS (SELECT doc_id, field_name, route, t1_value, t2_value, chosen, k1, kc, CASE WHEN rule0 IN (4, 5, 6) AND a IS NOT NULL AND NOT coalesce(ka = kc, false) THEN 7 ELSE rule0 END AS rule_no, rule0,
-  CASE WHEN t2_read THEN t2_conf END AS c2, t1_conf, CASE WHEN rule0 IN (1, 2, 6) THEN '3a' WHEN t2_read THEN '2' WHEN t1_read THEN '1' END AS reader FROM c),
+  CASE WHEN t2_read THEN t2_conf END AS c2, t1_conf, CASE WHEN rule0 IN (1, 2, 6) THEN t3_tier WHEN t2_read THEN '2' WHEN t1_read THEN '1' END AS reader FROM c),
 done AS (SELECT *, CASE WHEN rule_no IN (1, 4) THEN 0.95::DOUBLE WHEN rule_no IN (5, 6, 7) THEN 0.5::DOUBLE ELSE coalesce(c2, t1_conf) END AS confidence FROM resolved)"""
 
 
@@ -282,7 +277,7 @@ def funnel(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {RESOLVED} SELECT CASE WHEN k1 = kc THEN 'matched' WHEN coalesce(t2_value, t1_value) IS NULL THEN 'blank' WHEN ({sql_verdict('field_name', 'coalesce(t2_value, t1_value)')}) IS NULL THEN 'free_text' ELSE 'failed' END AS reason, count(*) AS n
-FROM done WHERE reader = '3a' AND chosen IS NOT NULL GROUP BY 1""")
+FROM done WHERE reader IN ('3a', '3b') AND chosen IS NOT NULL GROUP BY 1""")
 def third_reader_reasons(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.attribution(resolved(spark, d))
 
@@ -293,8 +288,8 @@ def review_queue(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.parked(resolved(spark, d)).withColumn("drivers", F.array_join("drivers", ","))
 
 
-@query(f"""WITH a AS (SELECT doc_id, field_name, max(value) AS a FROM field_attempts WHERE tier = '2' GROUP BY ALL), b AS (SELECT doc_id, field_name, max(value) AS b FROM field_attempts WHERE tier = '3a' GROUP BY ALL),
-j AS (SELECT field_name, (a IS NULL AND b IS NULL) OR coalesce({sql_norm('a')} = {sql_norm('b')}, false) AS ok FROM a JOIN b USING (doc_id, field_name))
+@query(f"""WITH {READINGS}, a AS (SELECT doc_id, field_name, max(value) AS a FROM field_attempts WHERE tier = '2' GROUP BY ALL), b AS (SELECT doc_id, field_name, max(value) AS b FROM field_attempts WHERE tier = '3a' GROUP BY ALL),
+j AS (SELECT field_name, (a IS NULL AND b IS NULL) OR coalesce(f1.k = f2.k, false) AS ok FROM a JOIN b USING (doc_id, field_name) LEFT JOIN folded f1 ON f1.v = a LEFT JOIN folded f2 ON f2.v = b)
 SELECT field_name, count(*) AS n, count(*) FILTER (ok) AS agree, round(count(*) FILTER (ok) / count(*), 6) AS rate FROM j GROUP BY field_name""")
 def pair_agreement(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.pair_agreement(table(spark, d, "field_attempts"), "2", "3a")
@@ -409,15 +404,21 @@ def training_pairs(spark: SparkSession, d: str) -> DataFrame:
     return flatten.training_text(table(spark, d, "correction_outcomes"))
 
 
-@query(f"""WITH f AS (SELECT doc_id, unnest(fields) AS f FROM sidecars), v AS (SELECT doc_id, f.name AS name, f.value AS value FROM f),
-w AS (SELECT *, string_split(trim(regexp_replace(value, '[\\s\\p{{Z}}]+', ' ', 'g')), ' ') AS ws FROM v),
-t AS (
-  SELECT doc_id, 'last_name' AS field, CASE WHEN contains(value, ',') THEN {ASCII_NORM.format("trim(split_part(value, ',', 1))")} END AS token FROM v WHERE name = 'patient_name'
-  UNION ALL SELECT doc_id, 'first_name', CASE WHEN contains(value, ',') THEN {ASCII_NORM.format("trim(substr(value, instr(value, ',') + 1))")} END FROM v WHERE name = 'patient_name'
-  UNION ALL SELECT doc_id, 'date_of_birth', {sql_date("ws[1]")} FROM w WHERE name = 'patient_birth_date'
-  UNION ALL SELECT doc_id, 'sex', CASE WHEN upper(ws[-1]) IN ('M', 'F', 'U') THEN upper(ws[-1]) END FROM w WHERE name = 'patient_birth_date'
-  UNION ALL SELECT doc_id, CASE name WHEN 'patient_address_line' THEN 'address_street' WHEN 'patient_city' THEN 'address_city' WHEN 'patient_state' THEN 'address_state' WHEN 'patient_zip' THEN 'address_zip' WHEN 'patient_phone' THEN 'phone' ELSE 'insurance_member_id' END,
-    {ASCII_NORM.format('value')} FROM v WHERE name IN ('patient_address_line', 'patient_city', 'patient_state', 'patient_zip', 'patient_phone', 'insured_id'))
+@query(f"""WITH s AS (SELECT doc_id, f.name AS name, f.value AS value FROM (SELECT doc_id, unnest(fields) AS f FROM sidecars)),
+parts AS (
+  SELECT doc_id, 'last_name' AS field, CASE WHEN contains(value, ',') THEN trim(split_part(value, ',', 1)) END AS part FROM s WHERE name = 'patient_name'
+  UNION ALL SELECT doc_id, 'first_name', CASE WHEN contains(value, ',') THEN trim(substr(value, instr(value, ',') + 1)) END FROM s WHERE name = 'patient_name'
+  UNION ALL SELECT doc_id, 'born', value FROM s WHERE name = 'patient_birth_date'
+  UNION ALL SELECT doc_id, CASE name WHEN 'patient_address_line' THEN 'address_street' WHEN 'patient_city' THEN 'address_city' WHEN 'patient_state' THEN 'address_state' WHEN 'patient_postal_code' THEN 'address_zip'
+    WHEN 'patient_phone' THEN 'phone' WHEN 'diagnosis' THEN 'reason_for_visit' ELSE name END, value
+    FROM s WHERE name IN ('patient_address_line', 'patient_city', 'patient_state', 'patient_postal_code', 'patient_phone', 'diagnosis', 'date_signed')),
+{folding.folded("SELECT part AS v FROM parts")},
+p AS (SELECT doc_id, field, f, string_split(f, ' ') AS ws FROM parts JOIN folded ON v = part),
+t AS (SELECT doc_id, 'date_of_birth' AS field, {folding.date('ws[1]')} AS token FROM p WHERE field = 'born'
+  UNION ALL SELECT doc_id, 'sex', CASE WHEN upper(ws[-1]) IN ('M', 'F', 'U') THEN upper(ws[-1]) END FROM p WHERE field = 'born'
+  UNION ALL SELECT doc_id, field, {folding.date('f')} FROM p WHERE field = 'date_signed'
+  UNION ALL SELECT doc_id, 'signature', 'present' FROM s WHERE name = 'signature'
+  UNION ALL SELECT doc_id, field, f FROM p WHERE field NOT IN ('born', 'date_signed'))
 SELECT doc_id, field, min(token) AS token FROM t WHERE token IS NOT NULL GROUP BY ALL""")
 def sidecar_truth(spark: SparkSession, d: str) -> DataFrame:
     return flatten.sidecar_truth(table(spark, d, "sidecars"))

@@ -33,8 +33,10 @@ def may_pass(error: BaseException) -> bool:
 
 
 def attempt(call: Callable[[], dict], sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic) -> tuple[dict | None, float, str | None]:
-    """(result, milliseconds, error) of a call, tried again after 1, 2 and 4 seconds with jitter; the result is null once the tries are used up. An answer that takes longer than LONGEST counts as a timeout."""
-    n = 0
+    """(result, milliseconds, error) of a call, tried again up to RETRIES times after 1, 2 and 4 seconds with jitter; the result is null once the tries are used up.
+
+    Among them, failures that can't pass are tried again OTHER_RETRIES times, whatever failed before. An answer that takes longer than LONGEST counts as a timeout."""
+    n = others = 0
     while True:
         began = clock()
         try:
@@ -44,7 +46,8 @@ def attempt(call: Callable[[], dict], sleep: Callable[[float], None] = time.slee
                 raise TimeoutError(f"took {took:.0f} s")
             return out, took * 1000, None
         except Exception as e:  # noqa: BLE001  readers fail in their own ways
-            if n >= (RETRIES if may_pass(e) else OTHER_RETRIES):
+            others += not may_pass(e)
+            if n >= RETRIES or others > OTHER_RETRIES and not may_pass(e):
                 return None, (clock() - began) * 1000, f"{type(e).__name__}: {e}"
             sleep(WAIT * 2**n * (1 + random.random() / 4))
             n += 1

@@ -41,7 +41,11 @@ def test_text_functions(spark):
     assert one(spark, lambda a: X.word_index(X.label_words(a), X.label_words(F.lit("of birth"))), "Date of birth") == 1
     assert one(spark, lambda a: X.word_index(X.label_words(a), X.label_words(F.lit("irth"))), "Date of birth") is None
     assert one(spark, X.partition_key, "a-b-c", "healthcare") == "a-b" and one(spark, X.partition_key, "a-b-c", "business") == "a-b-c"
-    assert one(spark, X.safe_stem, "con.x").startswith(one(spark, lambda c: F.substring(F.sha2(c, 256), 1, 16), "con.x"))
+    for name in ("CON", "com0", "lpt9", "a.", ""):
+        assert one(spark, X.safe_stem, name).startswith(one(spark, lambda c: F.substring(F.sha2(c, 256), 1, 16), name))
+    assert one(spark, X.safe_stem, "con.x").startswith("con.x-")
+    v = lambda f, x: one(spark, lambda c: X.verdict(F.lit(f), c), x)
+    assert v("address_zip", " 12345\n") and v("address_state", "\u00a0ny ") and v("date_of_birth", " 1/2/2020 ") and not v("address_zip", "12345x") and v("address_state", "zz") is False
 
 
 def wide(spark, rows):
