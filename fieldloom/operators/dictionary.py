@@ -94,17 +94,17 @@ def generic(dictionary: DataFrame) -> DataFrame:
     return others.groupBy("field", "vertical", "alias").agg(F.count_distinct("other").alias("n")).filter("n >= 2").select("field", "vertical", "alias")
 
 
-def match_labels(labels: DataFrame, dictionary: DataFrame, label: str = "label") -> DataFrame:
+def match_labels(labels: DataFrame, dictionary: DataFrame, label: str = "label", free: bool = False) -> DataFrame:
     """label, field, vertical, alias, score: the best alias of each distinct label, by the part of the label that it is.
 
     An alias has to be in the label, and its words in a row among the label's words. So the runs of words of a label, as long as the longest alias, are joined with
-    aliases by equality, and no label meets every alias. Ties go to the first field and the first of its aliases; below MATCH_FLOOR there is no match."""
+    aliases by equality, and no label meets every alias. free: the label is free text, of which nothing is cut off and no box number taken away. Ties go to the first field and the first of its aliases; below MATCH_FLOOR there is no match."""
     fields = dictionary.select(F.col("canonical_name").alias("field"), "vertical").distinct()
     pos = fields.withColumn("field_pos", F.row_number().over(Window.orderBy("vertical", "field")))  # a dictionary's fields: few rows
     a = aliases(dictionary).join(pos, ["field", "vertical"]).withColumn("words", label_words(F.col("alias"))).filter(F.size("words") > 0)
     a = a.select("field", "vertical", "field_pos", "alias_pos", "alias", F.upper("alias").alias("upper"), F.array_join("words", " ").alias("run"), F.size("words").alias("len"))
     most = a.agg(F.max("len")).first()[0] or 1
-    one = labels.filter(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct().withColumn("clean", F.substring(without_box_number(F.upper("label")), 1, LABEL_CHARS)).withColumn("words", label_words(F.col("clean")))
+    one = labels.filter(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct().withColumn("clean", F.upper("label") if free else F.substring(without_box_number(F.upper("label")), 1, LABEL_CHARS)).withColumn("words", label_words(F.col("clean")))
     starts = F.sequence(F.lit(1), F.size("words"))
     runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size("words") - i + 1)), lambda n: F.array_join(F.slice("words", i, n), " "))))
     each = one.filter(F.size("words") > 0).select("label", "clean", F.explode(F.array_distinct(runs)).alias("run"))
@@ -127,3 +127,74 @@ def metadata(dictionary: DataFrame) -> DataFrame:
     """field, vertical, label, kind (string_like or coerced; null where a reader can't be asked for it), protected (personal health or card data)."""
     kind = F.when(F.col("data_type").isin("string", "enum"), "string_like").when(F.col("data_type").isin("boolean", "integer", "float", "date"), "coerced")
     return dictionary.select(F.col("canonical_name").alias("field"), "vertical", title(F.col("canonical_name")).alias("label"), kind.alias("kind"), F.lower("data_class").isin("phi", "pci").alias("protected"))
+
+
+def with_overlay(dictionary: DataFrame, learned_: DataFrame) -> DataFrame:
+    """aliases() of a dictionary and, after them, those of an overlay (field, vertical, alias): a snapshot that is passed on, not a state."""
+    base = aliases(dictionary)
+    top = base.groupBy("field", "vertical").agg((F.max("alias_pos") + 1).alias("top"))
+    more = learned_.select("field", "vertical", "alias").distinct().withColumn("r", F.row_number().over(Window.partitionBy("field", "vertical").orderBy("alias")) - 1)
+    more = more.join(top, ["field", "vertical"], "left").select("field", "vertical", (F.coalesce("top", F.lit(0)) + F.col("r")).cast("int").alias("alias_pos"), "alias")
+    return base.unionByName(more)
+
+
+def totals(dictionary: DataFrame) -> DataFrame:
+    """records, aliases of a dictionary."""
+    return dictionary.agg(F.count("*").alias("records"), F.coalesce(F.sum(F.size(F.coalesce("aliases", F.array().cast("array<string>")))), F.lit(0)).cast("long").alias("aliases"))
+
+
+META = ["data_type", "description", "data_class", "sensitivity", "source_standard"]
+#: Order of the verticals in a seed, the base first; others follow by name.
+VERTICALS = ["base", "insurance", "healthcare", "hr"]
+
+
+def build_seed(fields: DataFrame, alias_lists: DataFrame, base: str = "base") -> DataFrame:
+    """canonical_name, vertical, META, aliases, rank: the records of a dictionary, by rank of the vertical and name.
+
+    fields: canonical_name, vertical, META of every form, those that a form takes over from the base included. alias_lists: canonical_name, vertical, aliases. A field taken over from the base is a record of
+    its own only if it has aliases of its own or other metadata there; its aliases are its own, else those of the base, else none."""
+    key = ["canonical_name", "vertical"]
+    one = fields.groupBy(*key).agg(F.max(F.struct(*META)).alias("m"))
+    own = alias_lists.groupBy(*key).agg(F.max("aliases").alias("own"))
+    of_base = one.filter(F.col("vertical") == base).select("canonical_name", F.col("m").alias("base_m"))
+    base_aliases = alias_lists.filter(F.col("vertical") == base).groupBy("canonical_name").agg(F.max("aliases").alias("base_own"))
+    j = one.join(own, key, "left").join(of_base, "canonical_name", "left").join(base_aliases, "canonical_name", "left")
+    kept = (F.col("vertical") == base) | F.col("base_m").isNull() | F.col("own").isNotNull() | ~F.col("m").eqNullSafe(F.col("base_m"))
+    rank = F.array_position(F.array(*[F.lit(v) for v in VERTICALS]), F.col("vertical"))
+    rank = F.when(rank == 0, len(VERTICALS)).otherwise(rank - 1).cast("int")
+    none = F.array().cast("array<string>")
+    return j.filter(kept).select(*key, *[F.col("m")[c].alias(c) for c in META], F.coalesce("own", "base_own", none).alias("aliases"), rank.alias("rank")).orderBy("rank", "vertical", "canonical_name")
+
+
+def sweep(docs: DataFrame, dictionary: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """batch, key, score: what score_texts() gives with the first n aliases of each record, for every n at once; documents without any distinctive alias in a batch have no row there.
+
+    A text is searched once for all aliases; what it holds is joined with the batches in which an alias is distinctive, and its weight there."""
+    a = aliases(dictionary).withColumn("alias", F.upper(stripped(F.col("alias"))))
+    last = dictionary.agg(F.max(F.size("aliases"))).first()[0] or 0
+    each = a.select("field", "vertical", "alias", F.explode(F.sequence(F.col("alias_pos") + 1, F.lit(max(last, 1)))).alias("batch")).distinct()
+    other = each.filter(F.col("vertical").isin("base", "insurance", "hr")).select("batch", "alias").distinct()
+    mine = each.filter("vertical = 'healthcare'").groupBy("batch", "alias").agg((1 / F.count("*")).alias("weight")).join(other, ["batch", "alias"], "left_anti")
+    words = [r[0] for r in mine.select("alias").distinct().orderBy("alias").toLocalIterator()]
+    found = docs.filter(F.col(text).isNotNull()).select(key, F.explode(_held(words)(F.upper(F.col(text)))).alias("alias"))
+    return found.join(F.broadcast(mine), "alias").groupBy("batch", key).agg(F.sum("weight").alias("score"))
+
+
+def _held(words: list[str]):
+    """Which of the words a text contains, each once, as an Arrow UDF."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            import ahocorasick
+
+            search = ahocorasick.Automaton()
+            for w in words:
+                search.add_word(w, w)
+            search.make_automaton()
+            found = (lambda t: sorted({w for _, w in search.iter(t)})) if words else (lambda t: [])
+        except ImportError:
+            found = lambda t: [w for w in words if w in t]
+        for s in batches:
+            yield s.map(found)
+
+    return F.pandas_udf(run, T.ArrayType(T.StringType()))

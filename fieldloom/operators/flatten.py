@@ -93,13 +93,6 @@ def annotated_truth(fields: DataFrame, known: list[str]) -> DataFrame:
     return t.groupBy("doc_id", F.col("fieldtype").alias("field")).agg(F.min_by("token", "pos").alias("token"))
 
 
-def training_text(corrections: DataFrame) -> DataFrame:
-    """correction_id, input, target of the corrections that change a value; a missing value is shown as <BLANK>."""
-    shown = lambda c: F.coalesce(F.col(c), F.lit("<BLANK>"))
-    text = F.concat(F.lit("Field: "), F.coalesce(F.trim("field_name"), F.lit("unknown")), F.lit("\nReading: "), shown("original_value"))
-    return corrections.filter(~F.col("original_value").eqNullSafe(F.col("corrected_value"))).select("correction_id", text.alias("input"), shown("corrected_value").alias("target")).distinct()
-
-
 def prompt_lines(dictionary: DataFrame) -> Column:
     """The text that asks a reader for the fields of a form, in order of their names, as an aggregate."""
     line = F.concat(F.lit("- "), F.col("canonical_name"), F.lit(" ("), F.col("data_type"), F.lit("): "), F.col("description"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldloom.functions.text import finalizes, verdict
-from fieldloom.operators import packed
+from fieldloom.operators import forms, packed
 from fieldloom.operators.dictionary import match_labels
 
 #: Rows, columns and characters of a table that are read; confidence of a reading that its rule confirms, and the most that another gets.
@@ -134,8 +134,19 @@ def offers(pairs: DataFrame, dictionary: DataFrame, block: list[str], grid: Data
     return out.select(*block, "row_no", "label", F.col("r.field").alias("field"), v.alias("value"), "score", "aligned", F.coalesce(verdict(F.col("r.field"), v), F.lit(False)).alias("validates"), "raw_text")
 
 
-def best_offers(offered: DataFrame, block: list[str]) -> DataFrame:
-    """The best offer of each field: valid ones first, then aligned ones, then by score, then the first. A confirmed value has CONFIRMED, any other its score, at most UNCONFIRMED."""
+def best_offers(offered: DataFrame, block: list[str], dictionary: DataFrame | None = None) -> DataFrame:
+    """The best offer of each field: valid ones first, then aligned ones, then by score, then the first. A confirmed value has CONFIRMED, any other its score, at most UNCONFIRMED.
+
+    dictionary: a winner whose value its field's type can't hold is dropped, and the next one does not take its place."""
     w = Window.partitionBy(*block, "field").orderBy(F.desc("validates"), F.desc("aligned"), F.desc("score"), "row_no", "label", "value")
     top = offered.withColumn("r", F.row_number().over(w)).filter("r = 1").drop("r")
+    if dictionary is not None:
+        kinds = dictionary.groupBy(F.col("canonical_name").alias("field")).agg(F.min("data_type").alias("_kind"))
+        top = top.join(F.broadcast(kinds), "field", "left").filter(forms.cast_valid(F.coalesce("_kind", F.lit("string")), F.col("value")).isNotNull()).drop("_kind")
     return top.withColumn("confidence", F.when(finalizes(F.col("field"), F.col("value")), CONFIRMED).otherwise(F.least(F.lit(UNCONFIRMED), F.col("score"))))
+
+
+def block_matches(lines: DataFrame, dictionary: DataFrame, line: str = "line") -> DataFrame:
+    """lines with field, vertical, alias, score and value: the best alias in each line, and what follows it there. Lines with no alias, or nothing after it, are left out. A line is matched once however often it occurs."""
+    m = match_labels(lines, dictionary, line, free=True)
+    return lines.join(m.withColumnRenamed("label", "_line"), F.col(line) == F.col("_line")).withColumn("value", value_after(F.col(line), F.col("alias"))).filter("value is not null").drop("_line")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.functions.text import full_form, iso_date, loose, sex_code
+from fieldloom.functions.text import full_form, iso_date, loose, sex_code, stripped
 from fieldloom.operators import metrics, reconcile
 
 # Fields of a health form that are scored, and those that are not compared as text.
@@ -22,6 +22,26 @@ def token(field: Column, value: Column) -> Column:
     return F.when(field.isin(DATES), iso_date(value)).when(field == "sex", sex_code(value)).when(field == "signature", signed).otherwise(full_form(value))
 
 
+def correction_truth(corrections: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """doc_id, field, value, token: what reviewers say is on a form, for the documents that have readings: the corrected value of the latest correction whose field name, in any case and with white space
+    around, is exactly the name of a field (fields; None for all). Typed names that need mapping are left out, as are corrections without a value; of two of the same time the larger id counts."""
+    name = F.lower(stripped(F.col("field_name")))
+    c = corrections.select("doc_id", name.alias("field"), F.col("corrected_value").alias("value"), "created_at", "correction_id").filter("doc_id is not null and field is not null and value is not null")
+    if fields is not None:
+        c = c.filter(F.col("field").isin(*fields))
+    last = c.groupBy("doc_id", "field").agg(F.max(F.struct("created_at", "correction_id", "value"))["value"].alias("value"))
+    return last.withColumn("token", token(F.col("field"), F.col("value"))).filter("token is not null")
+
+
+def form_funnel(forms: DataFrame, truth: DataFrame, docs: DataFrame, scorable: list[str] = SCORABLE) -> DataFrame:
+    """tier1, tier2, tier3, missed, true_negative: each scorable cell of each document once, by the reader whose value stands, or by whether there was anything to be read. forms: doc_id, field, value, tier."""
+    grid = docs.select("doc_id").distinct().select("doc_id", F.explode(F.array(*[F.lit(n) for n in scorable])).alias("field"))
+    j = grid.join(forms.select("doc_id", "field", "value", "tier"), ["doc_id", "field"], "left").join(truth.select("doc_id", "field", F.col("token").alias("truth")), ["doc_id", "field"], "left")
+    there, known = F.col("value").isNotNull(), F.col("truth").isNotNull()
+    n = lambda c, name: F.count_if(c).alias(name)
+    return j.agg(n(there & (F.col("tier") == "1"), "tier1"), n(there & (F.col("tier") == "2"), "tier2"), n(there & ~F.col("tier").isin("1", "2"), "tier3"), n(~there & known, "missed"), n(~there & ~known, "true_negative"))
+
+
 def score_cells(forms: DataFrame, truth: DataFrame, docs: DataFrame, scorable: list[str], stages: list[str]) -> DataFrame:
     """stage, doc_id, field and tp, fp, fn, blank of each scorable field of each document in each stage: all of them stand, whether or not there is a reading or a truth.
 

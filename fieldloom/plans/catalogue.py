@@ -398,12 +398,6 @@ def correction_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "correction_outcomes").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"), F.count_if("alias_learned").alias("learned"), F.count_distinct("session_id").alias("sessions"))
 
 
-@query("""SELECT DISTINCT correction_id, 'Field: ' || coalesce(trim(field_name), 'unknown') || chr(10) || 'Reading: ' || coalesce(original_value, '<BLANK>') AS input, coalesce(corrected_value, '<BLANK>') AS target
-FROM correction_outcomes WHERE original_value IS DISTINCT FROM corrected_value""")
-def training_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return flatten.training_text(table(spark, d, "correction_outcomes"))
-
-
 @query(f"""WITH s AS (SELECT doc_id, f.name AS name, f.value AS value FROM (SELECT doc_id, unnest(fields) AS f FROM sidecars)),
 parts AS (
   SELECT doc_id, 'last_name' AS field, CASE WHEN contains(value, ',') THEN trim(split_part(value, ',', 1)) END AS part FROM s WHERE name = 'patient_name'
@@ -431,14 +425,6 @@ def sidecar_problems(spark: SparkSession, d: str) -> DataFrame:
     return flatten.sidecar_problems(table(spark, d, "sidecars"))
 
 
-@query("""WITH m AS (SELECT DISTINCT doc_id FROM manifest_entries), s AS (SELECT DISTINCT doc_id FROM sidecars), j AS (SELECT m.doc_id IS NOT NULL AS in_manifest, s.doc_id IS NOT NULL AS in_sidecars FROM m FULL JOIN s ON m.doc_id = s.doc_id)
-SELECT in_manifest, in_sidecars, count(*) AS n FROM j GROUP BY ALL""")
-def sidecar_pairs(spark: SparkSession, d: str) -> DataFrame:
-    ids = lambda t, c: table(spark, d, t).select("doc_id").distinct().withColumn(c, F.lit(True))
-    j = ids("manifest_entries", "m").join(ids("sidecars", "s"), "doc_id", "full_outer")
-    return j.groupBy(F.col("m").isNotNull().alias("in_manifest"), F.col("s").isNotNull().alias("in_sidecars")).agg(F.count("*").alias("n"))
-
-
 @query("""WITH f AS (SELECT page, unnest(fields) AS f FROM sidecars), b AS (SELECT f.name AS name, f.bbox AS b, page.width_px AS w, page.height_px AS h FROM f),
 u AS (SELECT name, CASE WHEN b.x1 <= b.x2 AND b.y1 <= b.y2 AND w > 0 AND h > 0 THEN greatest(0, least(1, b.x1 / w)) END AS x1, CASE WHEN b.x1 <= b.x2 AND b.y1 <= b.y2 AND w > 0 AND h > 0 THEN greatest(0, least(1, b.y2 / h)) END AS y2 FROM b)
 SELECT name, count(*) AS n, count(x1) AS boxes, round(avg(x1), 6) AS mean_x1, round(max(y2), 6) AS max_y2 FROM u GROUP BY name""")
@@ -449,12 +435,6 @@ def unit_boxes(spark: SparkSession, d: str) -> DataFrame:
     return u.groupBy("name").agg(F.count("*").alias("n"), F.count("b.x1").alias("boxes"), F.round(F.avg("b.x1"), 6).alias("mean_x1"), F.round(F.max("b.y2"), 6).alias("max_y2"))
 
 
-@query("""SELECT doc_id, (SELECT count(*) FROM (SELECT unnest(string_split(text, chr(10))) AS l) WHERE trim(l) <> '') AS n_lines FROM documents WHERE text IS NOT NULL""")
-def line_counts(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "documents").filter("text is not null")
-    return b.select("doc_id", F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")).cast("long").alias("n_lines"))
-
-
 # ---- vectors and events
 
 VECTORS = """n AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS len FROM embeddings),
