@@ -135,6 +135,9 @@ def test_dictionary(spark, rows):
     assert rows(dictionary.batches(d)) == [(1, 3, 3), (2, 3, 5)]
     t = spark.createDataFrame([(1, "my chart, chart"), (2, None)], "id int, text string")
     assert rows(dictionary.score_texts(t, dictionary.distinctive(d)).select("id", "score")) == [(1, 1.0), (2, 0.0)]
+    many = spark.createDataFrame([("MY", 0.5), ("CHART", 1.0), ("ART", 0.25), ("ZZ", 9.0)], "alias string, weight double")
+    for block in (1, 2, 10):  # a vocabulary of any size, in blocks
+        assert rows(dictionary.score_texts(t, many, block=block).select("id", "score")) == [(1, 1.75), (2, 0.0)]
     lab = spark.createDataFrame([("1. full name:",), ("names",), (None,), ("",)], "label string")
     assert [(r["label"], r["field"]) for r in dictionary.match_labels(lab, d).collect()] == [("1. full name:", "a_b")]
     cor = spark.createDataFrame([("C", "chart "), ("c", " Card"), ("c", "CARD"), ("zz", "x"), (None, "y"), ("c", None)], "field_name string, learned_alias string")
@@ -150,8 +153,6 @@ def test_flatten(spark, rows):
     bad = spark.createDataFrame([('{"metadata": {"document_id": "d"}, "field_extractions": [{"page": 0, "bbox": [0.5, 0, 0.1, 1], "fieldtype": "a", "text": "t"}]}',)], "j string").select(F.from_json("j", flatten.ANNOTATION).alias("j")).select("j.*")
     with pytest.raises(Exception, match="bad box"):
         flatten.annotated_fields(bad).collect()
-    c = spark.createDataFrame([(1, "f", None, "x"), (2, None, "a", "a"), (3, "g ", "b", None)], "correction_id long, field_name string, original_value string, corrected_value string")
-    assert rows(flatten.training_text(c)) == [(1, "Field: f\nReading: <BLANK>", "x"), (3, "Field: g\nReading: b", "<BLANK>")]
 
 
 def test_retrieval(spark, rows):
