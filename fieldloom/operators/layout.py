@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions.text import finalizes, verdict
 from fieldloom.operators import forms, packed
-from fieldloom.operators.dictionary import match_labels
+from fieldloom.operators.dictionary import generic, match_labels
 
 #: Rows, columns and characters of a table that are read; confidence of a reading that its rule confirms, and the most that another gets.
 ROWS, COLUMNS, CELL_CHARS = 200, 32, 512
@@ -120,18 +120,20 @@ def single_passing(field: Column, value: Column) -> Column:
 
 
 def offers(pairs: DataFrame, dictionary: DataFrame, block: list[str], grid: DataFrame | None = None) -> DataFrame:
-    """block..., row_no, label, field, value, score, aligned, validates, raw_text: a pair whose label matches an alias offers its value to the alias's field, and the parts of a packed value to the fields that the label names too.
+    """block..., row_no, label, field, value, score, aligned, validates, raw_text, generic: a pair whose label matches an alias offers its value to the alias's field, and the parts of a packed value to the fields that the label names too.
 
-    grid: the cells; one that holds its own label and value offers the value as well, as an aligned one, with the cell as its label."""
+    generic: the alias is one word that other fields' aliases hold too, so it tells little. grid: the cells; one that holds its own label and value offers the value as well, as an aligned one, with the cell as its label."""
     read = packed.reader(dictionary)
-    j = pairs.join(match_labels(pairs, dictionary), "label").withColumn("r", packed.pair_readings(read, F.col("label"), F.col("value"), F.col("field")))
-    out = j.select(*block, "row_no", "label", "score", "aligned", F.col("value").alias("raw_text"), F.explode("r").alias("r"))
+    loose = F.broadcast(generic(dictionary).withColumn("generic", F.lit(True)))  # some of a dictionary's aliases
+    m = match_labels(pairs, dictionary).join(loose, ["field", "vertical", "alias"], "left")
+    j = pairs.join(m, "label").withColumn("r", packed.pair_readings(read, F.col("label"), F.col("value"), F.col("field")))
+    out = j.select(*block, "row_no", "label", "score", "aligned", F.col("value").alias("raw_text"), F.coalesce("generic", F.lit(False)).alias("generic"), F.explode("r").alias("r"))
     if grid is not None:
         c = grid.filter("text <> ''").select(*block, "row_no", "text").distinct().withColumn("r", packed.cell_readings(read, F.col("text")))
         own = c.select(*block, "row_no", F.col("text").alias("label"), F.col("text").alias("raw_text"), F.explode("r").alias("r"))
-        out = out.unionByName(own.select(*block, "row_no", "label", F.round("r.score", 6).alias("score"), F.lit(True).alias("aligned"), "raw_text", "r"))
+        out = out.unionByName(own.select(*block, "row_no", "label", F.round("r.score", 6).alias("score"), F.lit(True).alias("aligned"), "raw_text", F.lit(False).alias("generic"), "r"))
     v = single_passing(F.col("r.field"), F.col("r.value"))
-    return out.select(*block, "row_no", "label", F.col("r.field").alias("field"), v.alias("value"), "score", "aligned", F.coalesce(verdict(F.col("r.field"), v), F.lit(False)).alias("validates"), "raw_text")
+    return out.select(*block, "row_no", "label", F.col("r.field").alias("field"), v.alias("value"), "score", "aligned", F.coalesce(verdict(F.col("r.field"), v), F.lit(False)).alias("validates"), "raw_text", "generic")
 
 
 def best_offers(offered: DataFrame, block: list[str], dictionary: DataFrame | None = None) -> DataFrame:

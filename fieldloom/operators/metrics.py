@@ -56,6 +56,41 @@ def loose_stats(column: str) -> list[Column]:
     return [F.round(F.avg(column), 3).alias("mean"), F.round(F.expr(f"percentile({column}, 0.5)"), 3).alias("median"), F.round(F.max(column), 3).alias("maximum")]
 
 
+def spread_stats(df: DataFrame, by: list[str], column: str) -> DataFrame:
+    """by..., n, mean, median, maximum, to 3 digits, of a column that holds no negative numbers; exact, with an interpolating median, for groups of any size.
+
+    Values are counted in classes 1 % wide, by partial aggregates; only the one or two classes that hold the middle are then looked at, and of these nothing is collected where all values are equal."""
+    x = F.col(column).cast("double")
+    rows = df.select(*by, x.alias("_x"), F.ceil(F.log1p(x) * 100).cast("long").alias("_c"))
+    c = rows.groupBy(*by, "_c").agg(F.count("*").alias("n"), F.sum("_x").alias("s"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    w = Window.partitionBy(*by)
+    c = c.withColumns({"upto": F.sum("n").over(w.orderBy("_c")), "all": F.sum("n").over(w), "total": F.sum("s").over(w), "maximum": F.max("hi").over(w)})
+    a, b = F.call_function("div", F.col("all") - 1, F.lit(2).cast("long")), F.call_function("div", F.col("all"), F.lit(2).cast("long"))  # the places of the middle, from 0
+    at = F.array_distinct(F.array(a, b))
+    mid = c.withColumn("places", F.filter(at, lambda k: (k < F.col("upto")) & (k >= F.col("upto") - F.col("n")))).filter(F.size("places") > 0)
+    mid = mid.select(*by, "_c", "all", "total", "maximum", "lo", "hi", F.transform("places", lambda k: (k - F.col("upto") + F.col("n")).cast("int")).alias("places"))
+    same = mid.filter("lo = hi").select(*by, "all", "total", "maximum", F.transform("places", lambda k: F.col("lo")).alias("m"))
+    keys = mid.filter("lo < hi").select(*[F.struct(*by, F.lit(1)).alias("_g")], "_c", "all", "total", "maximum", "places")
+    held = rows.withColumn("_g", F.struct(*by, F.lit(1))).join(F.broadcast(keys), ["_g", "_c"])  # two rows a group
+    sorted_ = held.groupBy(*by, "_c").agg(F.first("all").alias("all"), F.first("total").alias("total"), F.first("maximum").alias("maximum"), F.first("places").alias("places"), F.sort_array(F.collect_list("_x")).alias("xs"))
+    each = same.unionByName(sorted_.select(*by, "all", "total", "maximum", F.transform("places", lambda k: F.get("xs", k)).alias("m")))
+    out = each.select(*by, "all", "total", "maximum", F.explode("m").alias("m")).groupBy(*by).agg(F.max("all").alias("n"), F.max("total").alias("total"), F.max("maximum").alias("maximum"), F.avg("m").alias("median"))
+    return out.select(*by, "n", F.round(F.col("total") / F.col("n"), 3).alias("mean"), F.round("median", 3).alias("median"), F.round("maximum", 3).alias("maximum"))
+
+
+def timing(replies: DataFrame) -> DataFrame:
+    """measure, n, mean, median, maximum of a reader's calls: tokens a second, seconds a call, of loading and of reading the prompt, and tokens, to 3 digits; a measure that no call has is null.
+
+    replies: eval_count, eval_duration, prompt_eval_count, prompt_eval_duration, load_duration, total_duration; durations in nanoseconds, 0 being none but for loading."""
+    seconds = lambda c: F.when(F.col(c) != 0, F.col(c) / 1e9)
+    each = {
+        "tokens_per_s": F.when((F.col("eval_count") != 0) & (F.col("eval_duration") != 0), F.col("eval_count") / (F.col("eval_duration") / 1e9)), "seconds_per_call": seconds("total_duration"), "load_seconds": F.col("load_duration") / 1e9,
+        "prompt_seconds": seconds("prompt_eval_duration"), "prompt_tokens": F.col("prompt_eval_count").cast("double"), "output_tokens": F.col("eval_count").cast("double"),
+    }
+    rows = replies.select(F.inline(F.array(*[F.struct(F.lit(n).alias("measure"), c.cast("double").alias("x")) for n, c in each.items()])))
+    return rows.groupBy("measure").agg(F.count("x").alias("n"), *loose_stats("x"))
+
+
 def form_confidence(value: Column, tier: Column, confidence: Column) -> list[Column]:
     """Aggregates of a form's fields: lowest and mean confidence of populated ones (1 for none), and how many are populated, blank and unattempted."""
     filled = F.when(value.isNotNull(), confidence)

@@ -42,13 +42,13 @@ def route(wide: DataFrame, covered: list[str] | None = None) -> DataFrame:
     return wide.withColumn("route", F.when(~is_covered & F.col("t2_value").isNotNull(), "uncovered").when(F.col("t1_key") == F.col("t2_key"), "agree").when(F.col("t2_read"), "routed"))
 
 
-def reconcile(wide: DataFrame) -> DataFrame:
+def reconcile(wide: DataFrame, specific: Column | None = None) -> DataFrame:
     """wide with rule_no, chosen, chosen_key, confidence and reader of each field.
 
     F is the running value (reader 2, else 1), S the strongest reader's, A a reading of reader 1 that its validator does not refute.
     1: S says what A says, S at AGREED. 2: all blank and never stamped, blank. 3: both blank. 4: F and S are equal, letter for letter, AGREED. 5: S is blank or F is
     valid by a rule, F at DISPUTED. 6: else S at DISPUTED. 7: after 4 to 6, where A says something else than what was chosen, DISPUTED.
-    A field that the strongest reader was not asked for keeps F, as rule 0."""
+    A field that the strongest reader was not asked for keeps F, as rule 0. specific: whether reader 1 found its value under a label that is the field's own; where it is false, 7 does not apply."""
     second = F.col("t2_value").isNotNull()
     f, s = F.coalesce("t2_value", "t1_value"), F.col("t3_value")
     f_key, f_ok = F.when(second, F.col("t2_key")).otherwise(F.col("t1_key")), F.when(second, F.col("t2_ok")).otherwise(F.col("t1_ok"))
@@ -61,7 +61,7 @@ def reconcile(wide: DataFrame) -> DataFrame:
     )
     out = wide.withColumn("_rule", rule).withColumn("_third", F.col("_rule").isin(1, 2, 6))
     out = out.withColumn("chosen", F.when(F.col("_third"), s).otherwise(f)).withColumn("chosen_key", F.when(F.col("_third"), F.col("t3_key")).otherwise(f_key))
-    has_a = F.coalesce("t1_ok", F.lit(True)) & F.col("t1_value").isNotNull()
+    has_a = F.coalesce("t1_ok", F.lit(True)) & F.col("t1_value").isNotNull() & (F.lit(True) if specific is None else F.coalesce(specific, F.lit(True)))
     against = F.col("_rule").isin(4, 5, 6) & has_a & ~yes(a_key == F.col("chosen_key"))
     out = out.withColumn("rule_no", F.when(against, 7).otherwise(F.col("_rule")))
     running = F.coalesce(F.when(F.col("t2_read"), F.col("t2_conf")), "t1_conf")
@@ -81,6 +81,14 @@ def parked(resolved: DataFrame) -> DataFrame:
     return below_gate(resolved).groupBy("doc_id").agg(F.sort_array(F.collect_list("field_name")).alias("drivers"), F.min("confidence").alias("lowest"))
 
 
+def run_records(resolved: DataFrame) -> DataFrame:
+    """doc_id, final_tier (the last reader that was asked), final_confidence (the mean over populated fields, 1 for none), status: a document's run through all stages. It is reviewed if any field is below the gate."""
+    last = F.when(F.col("t3_read"), F.col("t3_tier")).when(F.col("t2_read"), "2").when(F.col("t1_read"), "1")
+    low = F.col("reader").isNull() | F.coalesce(F.col("chosen").isNotNull() & (F.col("confidence") < REVIEW_BELOW), F.lit(False))
+    mean = F.round(F.coalesce(F.avg(F.when(F.col("chosen").isNotNull(), F.col("confidence"))), F.lit(1.0)), 6)
+    return resolved.groupBy("doc_id").agg(F.max(last).alias("final_tier"), mean.alias("final_confidence"), F.when(F.count_if(low) > 0, "review_queue").otherwise("extracted").alias("status"))
+
+
 def park_after_failure(resolved: DataFrame, failed: Column) -> DataFrame:
     """Where the strongest reader failed, values that were to be settled by it fall to DISPUTED."""
     hit = F.coalesce(failed, F.lit(False)) & F.col("chosen").isNotNull() & (F.col("route") == "routed")
@@ -102,8 +110,13 @@ def merge_fields(running: DataFrame, higher: DataFrame, names: DataFrame) -> Dat
     """running (doc_id, field_name, value, confidence, tier) with the rows of higher put over it for the escalated (doc_id, field_name) of names, blanks included."""
     key = ["doc_id", "field_name"]
     over = higher.join(names.select(*key).distinct(), key, "left_semi").select(*key, F.struct("value", "confidence", "tier").alias("h"))
-    j = running.join(over, key, "left")
-    return j.select(*key, *[F.when(F.col("h").isNotNull(), F.col(f"h.{c}")).otherwise(F.col(c)).alias(c) for c in ("value", "confidence", "tier")])
+    return overlaid(running.join(over, key, "left"), F.lit(True))
+
+
+def overlaid(both: DataFrame, escalated: Column) -> DataFrame:
+    """doc_id, field_name, value, confidence, tier of both, whose h (value, confidence, tier; null where the higher reader has nothing) is put over them where the field is escalated, blanks included."""
+    over = escalated & F.col("h").isNotNull()
+    return both.select("doc_id", "field_name", *[F.when(over, F.col(f"h.{c}")).otherwise(F.col(c)).alias(c) for c in ("value", "confidence", "tier")])
 
 
 def pair_agreement(attempts: DataFrame, a: str, b: str) -> DataFrame:

@@ -82,7 +82,7 @@ def latency_percentiles(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""SELECT tier, count(*) AS n, round(avg(latency_ms), 3) AS mean, round(quantile_cont(latency_ms, 0.5), 3) AS median, round(max(latency_ms), 3) AS maximum
 FROM field_attempts WHERE {MEASURED} GROUP BY tier""")
 def latency_stats(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "field_attempts").filter(MEASURED).groupBy("tier").agg(F.count("*").alias("n"), *metrics.loose_stats("latency_ms"))
+    return metrics.spread_stats(table(spark, d, "field_attempts").filter(MEASURED), ["tier"], "latency_ms")
 
 
 SERIES = f"""{CURRENT},
@@ -301,11 +301,12 @@ m AS (SELECT r.field_name, CASE WHEN h.doc_id IS NOT NULL AND r.value IS NOT NUL
   CASE WHEN h.doc_id IS NOT NULL AND r.value IS NOT NULL AND r.confidence < 0.85 THEN h.value ELSE r.value END AS value FROM r LEFT JOIN h USING (doc_id, field_name))
 SELECT field_name, tier, count(*) AS n, count(value) AS filled FROM m GROUP BY ALL""")
 def merged_fields(spark: SparkSession, d: str) -> DataFrame:
-    a = table(spark, d, "field_attempts")
-    form = lambda t: a.filter(F.col("tier") == t).groupBy("doc_id", "field_name").agg(F.max("value").alias("value"), F.max("confidence").alias("confidence")).withColumn("tier", F.lit(t))
-    low = form("1")
-    names = low.filter(reconcile.escalates(F.col("tier"), F.col("value"), F.col("confidence")))
-    return reconcile.merge_fields(low, form("2"), names).groupBy("field_name", "tier").agg(F.count("*").alias("n"), F.count("value").alias("filled"))
+    a = table(spark, d, "field_attempts").filter("tier in ('1', '2')")
+    one = lambda t: [F.max(F.when(F.col("tier") == t, F.col(c))).alias(f"{c}{t}") for c in ("value", "confidence")] + [F.max(F.when(F.col("tier") == t, F.lit(t))).alias(f"t{t}")]
+    both = a.groupBy("doc_id", "field_name").agg(*one("1"), *one("2")).filter("t1 is not null")  # both forms in one scan
+    low = both.select("doc_id", "field_name", F.col("value1").alias("value"), F.col("confidence1").alias("confidence"), F.col("t1").alias("tier"), F.when(F.col("t2").isNotNull(), F.struct(F.col("value2").alias("value"), F.col("confidence2").alias("confidence"), F.col("t2").alias("tier"))).alias("h"))
+    m = reconcile.overlaid(low, reconcile.escalates(F.col("tier"), F.col("value"), F.col("confidence")))
+    return m.groupBy("field_name", "tier").agg(F.count("*").alias("n"), F.count("value").alias("filled"))
 
 
 # ---- dictionary and routing

@@ -142,6 +142,14 @@ def routed_per_document(spark: SparkSession, d: str) -> DataFrame:
     return scoring.routed_per_document(reconcile.route(reconcile.by_reader(table(spark, d, "field_attempts"))))
 
 
+@query(f"""WITH {RESOLVED}, x AS (SELECT d.*, CASE WHEN w.t3_read THEN w.t3_tier WHEN w.t2_read THEN '2' WHEN w.t1_read THEN '1' END AS last FROM done d JOIN w USING (doc_id, field_name))
+SELECT doc_id, max(last) AS final_tier, round(coalesce(avg(CASE WHEN chosen IS NOT NULL THEN confidence END), 1.0), 6) AS final_confidence,
+  CASE WHEN count(*) FILTER (reader IS NULL OR coalesce(chosen IS NOT NULL AND confidence < 0.8, false)) > 0 THEN 'review_queue' ELSE 'extracted' END AS status FROM x GROUP BY doc_id""")
+def run_records(spark: SparkSession, d: str) -> DataFrame:
+    """The run of each document through all stages."""
+    return reconcile.run_records(resolved(spark, d))
+
+
 @query(f"""WITH {RESOLVED} SELECT field_name, CASE WHEN field_name NOT IN ({", ".join(f"'{f}'" for f in reconcile.COVERED)}) AND t2_value IS NOT NULL THEN 'uncovered' ELSE route END AS route, count(*) AS n FROM done GROUP BY ALL""")
 def covered_routes(spark: SparkSession, d: str) -> DataFrame:
     """Routes where reader 1 covers the fields of a health form only."""

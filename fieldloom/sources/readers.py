@@ -53,6 +53,22 @@ def attempt(call: Callable[[], dict], sleep: Callable[[float], None] = time.slee
             n += 1
 
 
+_made: dict[str, Reader] = {}
+
+
+def once(name: str, make: Callable[[], Reader]) -> Callable[[], Reader]:
+    """make, whose reader is made once a worker process and kept under name, for readers that are dear to make."""
+
+    def kept() -> Reader:
+        from fieldloom.sources import readers  # the worker's own module, whatever travelled there
+
+        if name not in readers._made:
+            readers._made[name] = make()
+        return readers._made[name]
+
+    return kept
+
+
 def read(documents: DataFrame, make: Callable[[], Reader]) -> DataFrame:
     """READINGS of documents (doc_id, content, fields): a row a field asked for, or one row with the error and a null field where the reader gave up.
 

@@ -324,3 +324,53 @@ def test_sidecar_files_round_trip(spark, tmp_path):
     back = files.sidecars(spark, str(tmp_path))
     same = lambda df: sorted(map(tuple, flatten.sidecar_truth(df).collect()))
     assert same(back) == same(s)
+
+
+def test_spread_stats_against_the_definition(spark):
+    import random
+    import statistics
+
+    r = random.Random(4)
+    groups = {"a": [r.lognormvariate(3, 2) for _ in range(501)], "b": [0.0] * 40 + [1.5, 2.5], "c": [5.0], "d": [1.0, 2.0], None: [0.0, 0.0, 9.0, 10.0]}
+    df = spark.createDataFrame([(g, x) for g, xs in groups.items() for x in xs], "g string, x double")
+    got = {x["g"]: (x["n"], x["mean"], x["median"], x["maximum"]) for x in metrics.spread_stats(df, ["g"], "x").collect()}
+    assert got == {g: (len(xs), pytest.approx(statistics.mean(xs), abs=6e-4), pytest.approx(statistics.median(xs), abs=6e-4), pytest.approx(max(xs), abs=6e-4)) for g, xs in groups.items()}
+    assert metrics.spread_stats(df.limit(0), ["g"], "x").count() == 0
+
+
+def test_timing(spark):
+    s = "eval_count long, eval_duration long, prompt_eval_count long, prompt_eval_duration long, load_duration long, total_duration long"
+    t = {r["measure"]: (r["n"], r["mean"], r["median"], r["maximum"]) for r in metrics.timing(spark.createDataFrame([(10, 10**9, 3, 0, 0, 2 * 10**9), (30, 10**9, None, None, None, 4 * 10**9), (5, 0, 1, 1, 1, None)], s)).collect()}
+    assert t["tokens_per_s"] == (2, 20.0, 20.0, 30.0) and t["seconds_per_call"] == (2, 3.0, 3.0, 4.0) and t["prompt_tokens"] == (2, 2.0, 2.0, 3.0)
+    assert {r["mean"] for r in metrics.timing(spark.createDataFrame([], s)).collect()} <= {None}
+
+
+def test_draws_chart_and_command_line_tables(spark):
+    from fieldloom.functions import draws
+    from fieldloom.plans import chart
+
+    df = spark.range(2000).select(F.when(F.col("id") > 0, F.col("id").cast("string")).alias("k"))
+    rows_ = df.select("k", draws.signature(F.col("k"), 7).alias("s")).select("k", "s.*").collect()
+    assert rows_ == df.repartition(3).select("k", draws.signature(F.col("k"), 7).alias("s")).select("k", "s.*").orderBy(F.col("k").cast("int")).collect()
+    assert abs(sum(r["mode"] == "typed" for r in rows_) / 2000 - draws.TYPED) < 0.04 and all(abs(r["rotation_deg"] or 0) <= draws.TURN for r in rows_)
+    scores = spark.createDataFrame([("Tier 1", 0.5), ("Tier 1+2", 0.75)], "stage string, f1 double")
+    funnel = spark.createDataFrame([(1, 2, 3, 4, 5)], "tier1 long, tier2 long, tier3 long, missed long, true_negative long")
+    one = chart.svg(scores, funnel, "a < b")
+    assert one == chart.svg(scores, funnel, "a < b") and "a &lt; b" in one and "0.750" in one and "15 cells" in one
+    import xml.etree.ElementTree as ET
+
+    ET.fromstring(one)
+    text = "NAME      ID    PROCESSOR    CONTEXT\nm:7b      a1    100% GPU     4096\n\nn:32b     b2    22%/78% CPU/GPU 8192\n"
+    assert chart.first_column(text) == ["m:7b", "n:32b"] and chart.under(text, "PROCESSOR", "m:7b") == "100% GPU"
+    assert chart.under(text, "NONE", "m:7b") is None and chart.under("", "ID", "x") is None and chart.under(text, "ID", "zz") is None
+
+
+def test_runs_and_generic_labels(spark, rows):
+    a = spark.createDataFrame([("d", "phone", "1", "1", 0.9), ("d", "sex", "1", "F", 0.5), ("e", "phone", "1", None, 0.9)], "doc_id string, field_name string, tier string, value string, confidence double")
+    done = reconcile.reconcile(reconcile.route(reconcile.by_reader(a)))
+    assert rows(reconcile.run_records(done)) == [("d", "1", 0.7, "review_queue"), ("e", "1", 1.0, "extracted")]
+    w = reconcile.route(reconcile.by_reader(spark.createDataFrame([("d", "first_name", t, v, 0.9) for t, v in (("1", "A"), ("2", "B"), ("3a", "B"))], a.schema)))
+    assert [reconcile.reconcile(w, x).first()["rule_no"] for x in (None, F.lit(False), F.lit(True))] == [7, 4, 7]
+    d = spark.createDataFrame([("a", "base", ["Name"]), ("b", "base", ["Name of pet"]), ("c", "base", ["Full name", "Chart"])], "canonical_name string, vertical string, aliases array<string>")
+    p = spark.createDataFrame([("i", 0, "Name", "x", True), ("i", 0, "Chart", "y", True)], "image string, row_no int, label string, value string, aligned boolean")
+    assert {r["label"]: r["generic"] for r in layout.offers(p, d, ["image"]).collect()} == {"Name": True, "Chart": False}
