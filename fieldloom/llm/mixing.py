@@ -70,7 +70,7 @@ def plan(lengths: np.ndarray, counts: np.ndarray, budget: int, most: int) -> tup
 
 def mix(docs: DataFrame, targets: DataFrame, seed: int = 0, total: int | None = None, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The mix (doc_id, source, n_tokens, uses) and its report, one row a target (source, target_share, aimed_share, max_repeats, documents,
-    available_tokens, budget, tokens, share).
+    longest, available_tokens, budget, tokens, share).
 
     docs: doc_id, source, text. targets: source, target_share, max_repeats; a small table, one row a source. total: tokens of the whole;
     None takes the most at which every source that has tokens can give its share. Sources without any tokens can give none; the
@@ -96,7 +96,7 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 0, total: int | None =
     packed = wanted.select(F.struct("doc_id", "source").alias("k"), "text")
     sized = scratch.write(count_tokens(packed, "k", path=path).filter("n_tokens > 0").select("k.doc_id", "k.source", "n_tokens"))
     by_length = scratch.write(sized.groupBy("source", "n_tokens").agg(F.count("*").alias("n")))
-    have = by_length.groupBy("source").agg(F.sum("n").alias("documents"), F.sum(F.col("n") * F.col("n_tokens")).alias("available"))
+    have = by_length.groupBy("source").agg(F.sum("n").alias("documents"), F.sum(F.col("n") * F.col("n_tokens")).alias("available"), F.max("n_tokens").alias("longest"))
     known = goal.join(have, "source", "left").withColumn("usable", F.coalesce(F.col("available"), F.lit(0)) > 0)
     sums = known.filter("usable").agg(F.sum("target_share").alias("s"), F.min(F.col("available") * F.col("max_repeats") / F.col("target_share")).alias("m")).first()
     share_sum = sums["s"] or 1.0
@@ -134,7 +134,7 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 0, total: int | None =
     got = plans.groupBy("source").agg(F.sum(F.col("n_tokens") * (F.col("n") * F.col("every") + F.col("extra"))).alias("tokens"))
     all_tokens = got.agg(F.sum("tokens")).first()[0] or 0
     report = known.join(got, "source", "left").select(
-        "source", "target_share", "aimed_share", "max_repeats", F.coalesce("documents", F.lit(0)).alias("documents"),
+        "source", "target_share", "aimed_share", "max_repeats", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("longest", F.lit(0)).alias("longest"),
         F.coalesce("available", F.lit(0)).alias("available_tokens"), "budget", F.coalesce("tokens", F.lit(0)).alias("tokens"),
         F.when(F.lit(all_tokens > 0), F.coalesce("tokens", F.lit(0)) / F.lit(float(max(all_tokens, 1)))).otherwise(0.0).alias("share"),
     )

@@ -125,12 +125,13 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_checks(spark: SparkSession, d: str) -> DataFrame:
-    """Of each target source: how many documents it has to give, whether its share is within a thousandth of the one aimed at, whether no document is used too often, and whether its uses sum up to the tokens reported."""
+    """Of each target source: how many documents it has to give, whether its share is within a thousandth of the one aimed at or as near as its documents let it come (short of its budget by less than the longest of them),
+    whether no document is used too often, and whether its uses sum up to the tokens reported."""
     mixed, report = mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
     used = mixed.groupBy("source").agg(F.max("uses").alias("most"), F.sum(F.col("uses") * F.col("n_tokens")).alias("used"), F.count_distinct("doc_id").alias("ids"), F.count("*").alias("rows"))
     ok = lambda c: F.coalesce(c, F.lit(False))
     return report.join(used, "source", "left").select(
-        "source", "documents", ok(F.abs(F.col("share") - F.col("aimed_share")) <= 0.001).alias("reached"),
+        "source", "documents", (ok(F.abs(F.col("share") - F.col("aimed_share")) <= 0.001) | ok((F.col("tokens") <= F.col("budget")) & (F.col("budget") - F.col("tokens") < F.col("longest")))).alias("reached"),
         ok((F.coalesce("most", F.lit(0)) <= F.col("max_repeats")) & F.col("ids").eqNullSafe(F.col("rows"))).alias("within_repeats"), ok(F.coalesce("used", F.lit(0)) == F.col("tokens")).alias("summed"),
     )
 
