@@ -25,8 +25,9 @@ FIRST_DAY, LAST_DAY = "1900-01-01", "2100-12-31"
 SPLIT_SALT = "intake-v1"
 
 
-#: White space of any kind.
+#: White space of any kind, as a pattern and as its characters.
 SPACE = r"[\s\p{Z}]+"
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def squeezed(c: Column) -> Column:
@@ -36,7 +37,7 @@ def squeezed(c: Column) -> Column:
 
 def stripped(c: Column) -> Column:
     """A text without white space of any kind at its ends."""
-    return F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 @F.pandas_udf(T.StringType())
@@ -51,21 +52,28 @@ def loose(c: Column) -> Column:
 
 
 def full_form(c: Column) -> Column:
-    """folded() of a text. Only texts with a character outside printable ASCII are handed to Python, the others as nulls; for those squeezed() is the same."""
+    """folded() of a text. Only texts with a character outside printable ASCII are handed to Python, the others as nulls; these have ordinary spaces only, and few have two in a row."""
     odd = c.rlike(r"[^\x20-\x7E]")
-    return F.when(odd, folded(F.when(odd, c))).otherwise(squeezed(c))
+    low = F.lower(c)
+    plain = F.nullif(F.trim(F.when(F.contains(low, F.lit("  ")), F.regexp_replace(low, " +", " ")).otherwise(low)), F.lit(""))
+    return F.when(odd, folded(F.when(odd, c))).otherwise(plain)
 
 
 def iso_date(c: Column) -> Column:
     """yyyy-MM-dd of a date written M/D/YYYY, YYYY-MM-DD or M-D-YYYY, after NFKC; null for anything else."""
-    return plain_date(full_form(c))
+    return _day(full_form(c))
 
 
 def plain_date(c: Column) -> Column:
     """iso_date of a text as it is written, without NFKC, which validators don't apply."""
-    t = F.trim(F.regexp_replace(c, SPACE, " "))
+    return _day(F.trim(F.regexp_replace(c, SPACE, " ")))
+
+
+def _day(t: Column) -> Column:
+    """The day of a text without white space around. Only texts of a date's length are matched, and only matching ones parsed."""
     d = F.coalesce(F.try_to_date(t, "M/d/yyyy"), F.try_to_date(t, "yyyy-M-d"), F.try_to_date(t, "M-d-yyyy"))
-    return F.when(t.rlike(r"^(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4})\z"), F.date_format(d, "yyyy-MM-dd"))
+    dated = F.length(t).between(8, 10) & t.rlike(r"^(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4})\z")
+    return F.when(dated, F.date_format(d, "yyyy-MM-dd"))
 
 
 def sex_code(c: Column) -> Column:
@@ -113,14 +121,14 @@ def word_index(words: Column, phrase: Column) -> Column:
 
 def verdict(field: Column, value: Column) -> Column:
     """Whether a value, without white space at its ends, is valid for its field: dates within the range, zips, states and phones; null for fields without a rule, and for null values."""
-    value = stripped(value)
-    date_field = field.rlike(r"^date_|_date$|_dob$|^date$")
-    day = plain_date(value)
-    digits = F.regexp_replace(value, r"[^0-9]", "")
+    clean = stripped(value)
+    date_field = field.startswith("date_") | field.endswith("_date") | field.endswith("_dob") | (field == "date")
+    day = _day(clean)
+    digits = F.regexp_replace(clean, r"[^0-9]", "")
     return (
         F.when(value.isNull(), F.lit(None).cast("boolean"))
-        .when(field.endswith("zip"), value.rlike(r"^\d{5}(-\d{4})?\z"))
-        .when(field.endswith("state"), F.upper(value).isin(*STATES))
+        .when(field.endswith("zip"), clean.rlike(r"^\d{5}(-\d{4})?\z"))
+        .when(field.endswith("state"), F.upper(clean).isin(*STATES))
         .when(field.endswith("phone"), F.length(digits) == 10)
         .when(date_field, F.coalesce(day.between(FIRST_DAY, LAST_DAY), F.lit(False)))
     )
@@ -134,7 +142,7 @@ def finalizes(field: Column, value: Column) -> Column:
 def comparable(c: Column) -> Column:
     """What two readings are compared by, both after NFKC: the day of a date, else the folded text."""
     full = full_form(c)
-    return F.coalesce(plain_date(full), full)
+    return F.coalesce(_day(full), full)
 
 
 def same_reading(a: Column, b: Column) -> Column:

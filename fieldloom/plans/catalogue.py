@@ -255,8 +255,9 @@ resolved AS (SELECT doc_id, field_name, route, t1_value, t2_value, chosen, k1, k
 done AS (SELECT *, CASE WHEN rule_no IN (1, 4) THEN 0.95::DOUBLE WHEN rule_no IN (5, 6, 7) THEN 0.5::DOUBLE ELSE coalesce(c2, t1_conf) END AS confidence FROM resolved)"""
 
 
-def resolved(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.reconcile(reconcile.route(reconcile.by_reader(table(spark, d, "field_attempts"))))
+def resolved(spark: SparkSession, d: str, values: bool = True) -> DataFrame:
+    """Each item as the three readers leave it; values: with the values themselves, else with their hashes."""
+    return reconcile.reconcile(reconcile.route(reconcile.by_reader(table(spark, d, "field_attempts"), values)))
 
 
 @query(f"WITH {RESOLVED} SELECT doc_id, field_name, route, rule_no, chosen, confidence, reader FROM done")
@@ -266,26 +267,26 @@ def reconciled(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {RESOLVED} SELECT field_name, route, rule_no, count(*) AS n FROM done GROUP BY ALL")
 def rules_by_field(spark: SparkSession, d: str) -> DataFrame:
-    return resolved(spark, d).groupBy("field_name", "route", "rule_no").agg(F.count("*").alias("n"))
+    return resolved(spark, d, values=False).groupBy("field_name", "route", "rule_no").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {RESOLVED}, g AS (SELECT coalesce(CASE WHEN chosen IS NULL THEN 'missed' ELSE reader END, 'missed') AS reader, count(*) AS n FROM done GROUP BY 1)
 SELECT reader, n, (sum(n) OVER (ORDER BY reader))::BIGINT AS cumulative FROM g""")
 def funnel(spark: SparkSession, d: str) -> DataFrame:
-    g = resolved(spark, d).groupBy(F.coalesce(F.when(F.col("chosen").isNull(), "missed").otherwise(F.col("reader")), F.lit("missed")).alias("reader")).agg(F.count("*").alias("n"))
+    g = resolved(spark, d, values=False).groupBy(F.coalesce(F.when(F.col("chosen").isNull(), "missed").otherwise(F.col("reader")), F.lit("missed")).alias("reader")).agg(F.count("*").alias("n"))
     return metrics.cumulative(g, [], "reader", "n")
 
 
 @query(f"""WITH {RESOLVED} SELECT CASE WHEN k1 = kc THEN 'matched' WHEN coalesce(t2_value, t1_value) IS NULL THEN 'blank' WHEN ({sql_verdict('field_name', 'coalesce(t2_value, t1_value)')}) IS NULL THEN 'free_text' ELSE 'failed' END AS reason, count(*) AS n
 FROM done WHERE reader IN ('3a', '3b') AND chosen IS NOT NULL GROUP BY 1""")
 def third_reader_reasons(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.attribution(resolved(spark, d))
+    return reconcile.attribution(resolved(spark, d, values=False))
 
 
 @query(f"""WITH {RESOLVED}, b AS (SELECT doc_id, field_name, confidence FROM done WHERE reader IS NULL OR (chosen IS NOT NULL AND confidence < 0.8))
 SELECT doc_id, string_agg(field_name, ',' ORDER BY field_name) AS drivers, min(confidence) AS lowest FROM b GROUP BY doc_id""")
 def review_queue(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.parked(resolved(spark, d)).withColumn("drivers", F.array_join("drivers", ","))
+    return reconcile.parked(resolved(spark, d, values=False)).withColumn("drivers", F.array_join("drivers", ","))
 
 
 @query(f"""WITH {READINGS}, a AS (SELECT doc_id, field_name, max(value) AS a FROM field_attempts WHERE tier = '2' GROUP BY ALL), b AS (SELECT doc_id, field_name, max(value) AS b FROM field_attempts WHERE tier = '3a' GROUP BY ALL),

@@ -41,7 +41,7 @@ SELECT doc_id, string_agg(field_name, ',' ORDER BY vertical, field_name) AS fiel
 def narrowed_requests(spark: SparkSession, d: str) -> DataFrame:
     """What the strongest reader is asked for, document by document, of the fields that the dictionary has."""
     known = table(spark, d, "alias_dictionary")
-    routed = reconcile.route(reconcile.by_reader(table(spark, d, "field_attempts"))).filter("route = 'routed'")
+    routed = reconcile.route(reconcile.by_reader(table(spark, d, "field_attempts"), values=False)).filter("route = 'routed'")
     routed = routed.join(F.broadcast(known.select(F.col("canonical_name").alias("field_name")).distinct()), "field_name", "left_semi")
     return forms.narrowed(routed, known).select("doc_id", F.array_join("fields", ",").alias("fields"))
 
@@ -81,7 +81,7 @@ def escaped_values(spark: SparkSession, d: str) -> DataFrame:
 SELECT doc_id, '[' || string_agg('{{"tier":"' || tier || '","error":"below the gate: ' || field_name || '"}}', ',' ORDER BY field_name, tier) || ']' AS error_history FROM b GROUP BY doc_id""")
 def review_rows(spark: SparkSession, d: str) -> DataFrame:
     """The review queue's rows of parked documents, with what they are parked for as their history."""
-    b = reconcile.below_gate(resolved(spark, d))
+    b = reconcile.below_gate(resolved(spark, d, values=False))
     return writers.review_rows(b.select("doc_id", F.col("field_name").alias("pos"), F.coalesce("reader", F.lit("none")).alias("tier"), F.concat(F.lit("below the gate: "), "field_name").alias("error")))
 
 
