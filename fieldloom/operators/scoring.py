@@ -60,14 +60,42 @@ def score_forms(forms: DataFrame, truth: DataFrame, docs: DataFrame, scorable: l
     return metrics.rated(cells.groupBy("stage").agg(*[F.sum(c).alias(c) for c in metrics.COUNTS]))
 
 
-def stage_forms(attempts: DataFrame) -> DataFrame:
-    """stage, doc_id, field, value, tier of the three configurations: reader 1; readers 1 and 2, reader 2 in the place of the strongest too; all three."""
-    wide = reconcile.route(reconcile.by_reader(attempts))
-    first = wide.filter("t1_read").select(F.lit(STAGES[0]).alias("stage"), "doc_id", F.col("field_name").alias("field"), F.col("t1_value").alias("value"), F.lit("1").alias("tier"))
+def stage_items(attempts: DataFrame) -> DataFrame:
+    """doc_id, field, forms (array of stage, value, tier) of the three configurations: reader 1; readers 1 and 2, reader 2 in the place of the strongest too; all three. All are made of one row an item, in one pass."""
+    extra = ["rule_no", "chosen", "chosen_key", "confidence", "reader"]
+    every = reconcile.reconcile(reconcile.route(reconcile.by_reader(attempts)))
+    every = every.withColumns({"_value": F.col("chosen"), "_tier": F.col("reader")}).drop(*extra)
     asked = F.coalesce(F.col("route") == "routed", F.lit(False))
-    second = wide.withColumns({f"t3_{c}": F.when(asked, F.col(f"t2_{c}")) for c in ("value", "conf", "key", "ok", "tier")} | {"t3_read": asked & F.col("t2_read")})
-    done = lambda w, s: reconcile.reconcile(w).select(F.lit(s).alias("stage"), "doc_id", F.col("field_name").alias("field"), F.col("chosen").alias("value"), F.col("reader").alias("tier"))
-    return first.unionByName(done(second, STAGES[1])).unionByName(done(wide, STAGES[2]))
+    second = every.withColumns({f"t3_{c}": F.when(asked, F.col(f"t2_{c}")) for c in ("value", "conf", "key", "ok", "tier")} | {"t3_read": asked & F.col("t2_read")})
+    done = reconcile.reconcile(second)
+    one = lambda stage, value, tier, there: F.when(there, F.struct(F.lit(stage).alias("stage"), value.alias("value"), tier.alias("tier")))
+    forms = F.array_compact(F.array(
+        one(STAGES[0], F.col("t1_value"), F.lit("1"), F.col("t1_read")), one(STAGES[1], F.col("chosen"), F.col("reader"), F.lit(True)), one(STAGES[2], F.col("_value"), F.col("_tier"), F.lit(True)),
+    ))
+    return done.select("doc_id", F.col("field_name").alias("field"), forms.alias("forms"))
+
+
+def stage_forms(attempts: DataFrame) -> DataFrame:
+    """stage, doc_id, field, value, tier: stage_items(), a row a configuration."""
+    return stage_items(attempts).select("doc_id", "field", F.inline("forms")).select("stage", "doc_id", "field", "value", "tier")
+
+
+def stage_cells(attempts: DataFrame, truth: DataFrame, docs: DataFrame, scorable: list[str] = SCORABLE) -> DataFrame:
+    """score_cells() of stage_forms(), for the scorable fields of the documents of docs only.
+
+    Other readings are left out before anything is brought together; a document's items and truths, at most one a scorable field each, are then joined by document, and its cells are made where they lie."""
+    some = docs.select("doc_id").distinct()
+    items = stage_items(attempts.filter(F.col("field_name").isin(*scorable)).join(some, "doc_id", "left_semi"))
+    of_doc = items.groupBy("doc_id").agg(F.collect_list(F.struct("field", "forms")).alias("items"))
+    known = truth.filter(F.col("field").isin(*scorable)).groupBy("doc_id").agg(F.collect_list(F.struct("field", "token")).alias("truths"))
+    j = some.join(known, "doc_id", "left").join(of_doc, "doc_id", "left")
+    every = lambda names: F.explode(F.array(*[F.lit(n) for n in names]))
+    first = lambda c, of, name: F.get(F.filter(c, lambda x: x[of] == F.col(name)), F.lit(0))
+    j = j.select("doc_id", "items", "truths", every(scorable).alias("field"))
+    j = j.select("doc_id", "field", first("items", "field", "field")["forms"].alias("forms"), first("truths", "field", "field")["token"].alias("truth"))
+    j = j.select("doc_id", "field", "forms", "truth", every(STAGES).alias("stage")).withColumn("f", first("forms", "stage", "stage")).select("stage", "doc_id", "field", "truth", F.col("f.value").alias("value"), F.col("f.tier").alias("tier"))
+    counts = metrics.cell_counts(F.col("value"), F.col("tier"), token(F.col("field"), F.col("value")), F.col("truth"))
+    return j.select("stage", "doc_id", "field", *[c.alias(n) for n, c in counts.items()])
 
 
 def substituted(attempts: DataFrame, readings: DataFrame, tier: str = "3a") -> DataFrame:

@@ -61,20 +61,21 @@ def _truth(spark: SparkSession, d: str, fields: list[str] | None = scoring.SCORA
 def scored_cells(spark: SparkSession, d: str) -> DataFrame:
     """Each scorable cell of the documents with truth, in three configurations of readers."""
     truth = _truth(spark, d)
-    return scoring.score_cells(scoring.stage_forms(table(spark, d, "field_attempts")), truth, truth, scoring.SCORABLE, scoring.STAGES)
+    return scoring.stage_cells(table(spark, d, "field_attempts"), truth, truth)
 
 
 @query(f"""WITH {FORMS}, s AS (SELECT stage, sum(tp)::BIGINT AS tp, sum(fp)::BIGINT AS fp, sum(fn)::BIGINT AS fn, sum(blank)::BIGINT AS blank FROM scored GROUP BY stage) SELECT *, {RATES}, {F1.format(6)} FROM s""")
 def by_stage(spark: SparkSession, d: str) -> DataFrame:
-    truth = _truth(spark, d)
-    return scoring.score_forms(scoring.stage_forms(table(spark, d, "field_attempts")), truth, truth)
+    return metrics.rated(scored_cells(spark, d).groupBy("stage").agg(*[F.sum(c).alias(c) for c in metrics.COUNTS]))
 
 
 @query(f"""WITH {FORMS} SELECT count(*) FILTER (value IS NOT NULL AND tier = '1') AS tier1, count(*) FILTER (value IS NOT NULL AND tier = '2') AS tier2, count(*) FILTER (value IS NOT NULL AND tier NOT IN ('1', '2')) AS tier3,
   count(*) FILTER (value IS NULL AND truth IS NOT NULL) AS missed, count(*) FILTER (value IS NULL AND truth IS NULL) AS true_negative FROM cells WHERE stage = 'Tier 1+2+3'""")
 def truth_funnel(spark: SparkSession, d: str) -> DataFrame:
     truth = _truth(spark, d)
-    forms = resolved(spark, d).select("doc_id", F.col("field_name").alias("field"), F.col("chosen").alias("value"), F.col("reader").alias("tier"))
+    some = table(spark, d, "field_attempts").filter(F.col("field_name").isin(*scoring.SCORABLE)).join(truth.select("doc_id").distinct(), "doc_id", "left_semi")
+    done = reconcile.reconcile(reconcile.route(reconcile.by_reader(some)))
+    forms = done.select("doc_id", F.col("field_name").alias("field"), F.col("chosen").alias("value"), F.col("reader").alias("tier"))
     return scoring.form_funnel(forms, truth, truth)
 
 
@@ -139,7 +140,7 @@ def replayed_corrections(spark: SparkSession, d: str) -> DataFrame:
 SELECT count(*) AS docs, coalesce(sum(n), 0)::BIGINT AS routed, round(avg(n), 6) AS mean_routed, count(*) FILTER (n > 0) AS docs_with_any FROM e""")
 def routed_per_document(spark: SparkSession, d: str) -> DataFrame:
     """Fields routed to the strongest reader, a document."""
-    return scoring.routed_per_document(reconcile.route(reconcile.by_reader(table(spark, d, "field_attempts"))))
+    return scoring.routed_per_document(reconcile.route(reconcile.by_reader(table(spark, d, "field_attempts"), values=False)))
 
 
 @query(f"""WITH {RESOLVED}, x AS (SELECT d.*, CASE WHEN w.t3_read THEN w.t3_tier WHEN w.t2_read THEN '2' WHEN w.t1_read THEN '1' END AS last FROM done d JOIN w USING (doc_id, field_name))
@@ -147,13 +148,13 @@ SELECT doc_id, max(last) AS final_tier, round(coalesce(avg(CASE WHEN chosen IS N
   CASE WHEN count(*) FILTER (reader IS NULL OR coalesce(chosen IS NOT NULL AND confidence < 0.8, false)) > 0 THEN 'review_queue' ELSE 'extracted' END AS status FROM x GROUP BY doc_id""")
 def run_records(spark: SparkSession, d: str) -> DataFrame:
     """The run of each document through all stages."""
-    return reconcile.run_records(resolved(spark, d))
+    return reconcile.run_records(resolved(spark, d, values=False))
 
 
 @query(f"""WITH {RESOLVED} SELECT field_name, CASE WHEN field_name NOT IN ({", ".join(f"'{f}'" for f in reconcile.COVERED)}) AND t2_value IS NOT NULL THEN 'uncovered' ELSE route END AS route, count(*) AS n FROM done GROUP BY ALL""")
 def covered_routes(spark: SparkSession, d: str) -> DataFrame:
     """Routes where reader 1 covers the fields of a health form only."""
-    w = reconcile.route(reconcile.by_reader(table(spark, d, "field_attempts")), reconcile.COVERED)
+    w = reconcile.route(reconcile.by_reader(table(spark, d, "field_attempts"), values=False), reconcile.COVERED)
     return w.groupBy("field_name", "route").agg(F.count("*").alias("n"))
 
 
@@ -167,6 +168,8 @@ x AS (SELECT c.field, CASE WHEN c.field IN ('date_of_birth', 'date_signed') THEN
 SELECT '{training.INSTRUCTION}' AS instruction, 'Field: ' || field || chr(10) || 'Field type: ' || kind || chr(10) || 'Cascade extracted: ' || coalesce(got, '<BLANK>') AS input, response, source, 'train' AS split FROM x""")
 def training_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Examples for a corrector: of train documents where what was chosen isn't the truth, and the fixed ones."""
-    forms = resolved(spark, d).select("doc_id", F.col("field_name").alias("field"), F.col("chosen").alias("value"))
-    return training.examples(table(spark, d, "manifest_entries"), _truth(spark, d), forms)
+    truth = _truth(spark, d)
+    some = table(spark, d, "field_attempts").filter(F.col("field_name").isin(*scoring.SCORABLE)).join(truth.select("doc_id").distinct(), "doc_id", "left_semi")
+    forms = reconcile.reconcile(reconcile.route(reconcile.by_reader(some))).select("doc_id", F.col("field_name").alias("field"), F.col("chosen").alias("value"))
+    return training.examples(table(spark, d, "manifest_entries"), truth, forms)
 
