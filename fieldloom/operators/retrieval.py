@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,6 +89,49 @@ packed = F.pandas_udf(lambda s: s.map(lambda v: None if v is None else pack([lis
 unpacked = F.pandas_udf(lambda s: s.map(lambda v: None if v is None else unpack(v)), T.ArrayType(T.ArrayType(T.FloatType())))
 
 
+def nearest_packed(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """query, doc, score, rank of the k best documents of each query, ties by doc, where a document's vectors lie together: docs (doc_id, matrix, as pack() makes them) are scored whole where they are, and
+    each batch passes on k documents a query only, so what is shuffled doesn't grow with the pairs. queries: query, token, vector, taken in blocks of BLOCK vectors, each of whole queries.
+
+    A query of another length than a document's vectors has no score with it; zero vectors score 0; null matrices are left out; none come out for k below 1."""
+    spark, parts = docs.sparkSession, []
+    schema = "query string, doc string, score double"
+    q = queries.filter("vector is not null and size(vector) > 0").groupBy(F.col("query").cast("string").alias("query")).agg(F.array_sort(F.collect_list(F.struct("token", "vector")))["vector"].alias("m")).orderBy("query")
+    block: list[tuple[str, np.ndarray]] = []
+    held = 0
+
+    def scored(block: list[tuple[str, np.ndarray]]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                best: dict[str, list[tuple[float, str]]] = {}
+                for doc, blob in zip(b["doc_id"], b["matrix"]):
+                    m = unit_rows(np.array(unpack(bytes(blob)), dtype=np.float64)) if blob is not None else None
+                    for name, qm in shared.value if m is not None and m.size else ():
+                        if qm.shape[1] == m.shape[1]:
+                            best.setdefault(name, []).append((-float((qm @ m.T).max(axis=1).sum()), str(doc)))
+                rows = [(name, doc, -s) for name, found in best.items() for s, doc in heapq.nsmallest(k, found)]
+                yield pd.DataFrame(rows, columns=["query", "doc", "score"])
+
+        return docs.select("doc_id", "matrix").mapInPandas(run, schema)
+
+    for r in q.toLocalIterator() if k > 0 else ():
+        try:
+            m = np.array(r["m"], dtype=np.float64)
+        except ValueError as e:
+            raise ValueError(f"vectors of several lengths in query {r['query']}") from e
+        if block and held + len(m) > BLOCK:
+            parts.append(scored(block))
+            block, held = [], 0
+        block.append((r["query"], unit_rows(m)))
+        held += len(m)
+    if block:
+        parts.append(scored(block))
+    every = functools.reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+    return top_k(every, k)
+
+
 def top_k(scores: DataFrame, k: int) -> DataFrame:
     """The k best documents of each query, ties by doc; none for k below 1."""
     w = Window.partitionBy("query").orderBy(F.desc("score"), "doc")

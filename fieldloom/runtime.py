@@ -17,8 +17,8 @@ BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 
 
 def session(app: str = "fieldloom", cpus: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session for tests and bench; clusters bring their own."""
-    return (
+    """A local session for tests and bench, whose workers get this package; clusters bring their own session and call ship() where the package isn't installed."""
+    spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
@@ -30,6 +30,8 @@ def session(app: str = "fieldloom", cpus: int = 8, memory: str = "8g") -> SparkS
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    ship(spark)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,8 +118,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+_shipped: set[str] = set()
+
+
 def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, for jobs started where it is neither installed nor in the working folder."""
+    """Gives the executors this package, for jobs started where it is neither installed nor in the working folder; once an application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
     here = os.path.dirname(os.path.abspath(__file__))
     name = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="fieldloom-"), "fieldloom"), "zip", os.path.dirname(here), "fieldloom")
     atexit.register(shutil.rmtree, os.path.dirname(name), ignore_errors=True)
