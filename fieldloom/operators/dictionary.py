@@ -97,18 +97,20 @@ def generic(dictionary: DataFrame) -> DataFrame:
 def match_labels(labels: DataFrame, dictionary: DataFrame, label: str = "label", free: bool = False) -> DataFrame:
     """label, field, vertical, alias, score: the best alias of each distinct label, by the part of the label that it is.
 
-    An alias has to be in the label, and its words in a row among the label's words. So the runs of words of a label, as long as the longest alias, are joined with
-    aliases by equality, and no label meets every alias. free: the label is free text, of which nothing is cut off and no box number taken away. Ties go to the first field and the first of its aliases; below MATCH_FLOOR there is no match."""
+    An alias has to be in the label, and its words in a row among the label's words. So the words of a label are joined with the first words of aliases by equality,
+    and no label meets every alias. free: the label is free text, of which nothing is cut off and no box number taken away. Ties go to the first field and the first of its aliases; below MATCH_FLOOR there is no match."""
     fields = dictionary.select(F.col("canonical_name").alias("field"), "vertical").distinct()
     pos = fields.withColumn("field_pos", F.row_number().over(Window.orderBy("vertical", "field")))  # a dictionary's fields: few rows
     a = aliases(dictionary).join(pos, ["field", "vertical"]).withColumn("words", label_words(F.col("alias"))).filter(F.size("words") > 0)
     a = a.select("field", "vertical", "field_pos", "alias_pos", "alias", F.upper("alias").alias("upper"), F.array_join("words", " ").alias("run"), F.size("words").alias("len"))
     most = a.agg(F.max("len")).first()[0] or 1
     one = labels.filter(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct().withColumn("clean", F.upper("label") if free else F.substring(without_box_number(F.upper("label")), 1, LABEL_CHARS)).withColumn("words", label_words(F.col("clean")))
-    starts = F.sequence(F.lit(1), F.size("words"))
-    runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size("words") - i + 1)), lambda n: F.array_join(F.slice("words", i, n), " "))))
-    each = one.filter(F.size("words") > 0).select("label", "clean", F.explode(F.array_distinct(runs)).alias("run"))
-    hits = each.join(F.broadcast(a) if a.limit(VOCABULARY_ROWS + 1).count() <= VOCABULARY_ROWS else a, "run").filter(F.contains("clean", "upper"))
+    # each word with those that follow it, as many as the longest alias has, meets the aliases that begin with it
+    at = F.transform(F.sequence(F.lit(1), F.size("words")), lambda i: F.struct(F.element_at("words", i).alias("first"), F.slice("words", i, F.lit(most)).alias("tail")))
+    each = one.filter(F.size("words") > 0).select("label", "clean", F.inline(F.array_distinct(at)))
+    a = a.withColumn("first", F.substring_index("run", " ", 1))
+    hits = each.join(F.broadcast(a) if a.limit(VOCABULARY_ROWS + 1).count() <= VOCABULARY_ROWS else a, "first")
+    hits = hits.filter((F.array_join(F.slice("tail", F.lit(1), F.col("len")), " ") == F.col("run")) & F.contains("clean", "upper"))
     score = F.least(F.lit(1.0), F.length("upper") / F.length(F.trim("clean")))
     best = hits.withColumn("score", score).groupBy("label").agg(F.min(F.struct((-F.col("score")).alias("s"), "field_pos", "alias_pos", "field", "vertical", "alias")).alias("b"))
     return best.select("label", "b.field", "b.vertical", "b.alias", F.round(-F.col("b.s"), 6).alias("score")).filter(F.col("score") >= MATCH_FLOOR)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions.text import finalizes, verdict
 from fieldloom.operators import forms, packed
-from fieldloom.operators.dictionary import generic, match_labels
+from fieldloom.operators.dictionary import VOCABULARY_ROWS, aliases, generic, match_labels
 
 #: Rows, columns and characters of a table that are read; confidence of a reading that its rule confirms, and the most that another gets.
 ROWS, COLUMNS, CELL_CHARS = 200, 32, 512
@@ -148,7 +148,14 @@ def best_offers(offered: DataFrame, block: list[str], dictionary: DataFrame | No
     return top.withColumn("confidence", F.when(finalizes(F.col("field"), F.col("value")), CONFIRMED).otherwise(F.least(F.lit(UNCONFIRMED), F.col("score"))))
 
 
-def block_matches(lines: DataFrame, dictionary: DataFrame, line: str = "line") -> DataFrame:
-    """lines with field, vertical, alias, score and value: the best alias in each line, and what follows it there. Lines with no alias, or nothing after it, are left out. A line is matched once however often it occurs."""
+def block_matches(lines: DataFrame, dictionary: DataFrame, line: str = "line", held: int = VOCABULARY_ROWS) -> DataFrame:
+    """lines with field, vertical, alias, score and value: the best alias in each line, and what follows it there. Lines with no alias, or nothing after it, are left out; null lines too.
+
+    A dictionary of up to held aliases is searched for in each line where it lies, without a shuffle; for a larger one the different lines are joined with it by match_labels()."""
+    a = aliases(dictionary).select("field", "vertical", "alias_pos", "alias").filter("alias is not null")
+    if a.count() <= held:
+        rows = [tuple(r) for r in a.orderBy("vertical", "field", "alias_pos").select("field", "vertical", "alias").collect()]
+        m = lines.withColumn("_m", packed.line_matches(rows, F.col(line))).filter("_m.field is not null")
+        return m.select(*lines.columns, *[F.col(f"_m.{c}").alias(c) for c in ("field", "vertical", "alias", "score", "value")])
     m = match_labels(lines, dictionary, line, free=True)
     return lines.join(m.withColumnRenamed("label", "_line"), F.col(line) == F.col("_line")).withColumn("value", value_after(F.col(line), F.col("alias"))).filter("value is not null").drop("_line")

@@ -16,6 +16,7 @@ from fieldloom.operators.dictionary import MATCH_FLOOR, VOCABULARY_ROWS, aliases
 NAMES = ("first_name", "last_name")
 LITERALS = {"sex": ("M", "F", "U")}
 LABEL_LINES, CELL_CHARS = 3, 512
+RULED = re.compile(r"\d|^[A-Za-z]{2}$")
 READINGS = "array<struct<field string, value string, score double>>"
 
 
@@ -68,11 +69,20 @@ class Cells:
     def __init__(self, entries: list[tuple[str, str]], kinds: dict[str, str], literals: dict[str, tuple[str, ...]]):
         self.entries = [(f, a.strip(), words(a)) for f, a in entries if a and a.strip()]
         self.kinds, self.literals = kinds, literals
+        # aliases by their first word, so a label meets those only that can be in it
+        self.starting: dict[str, list[tuple[int, str, str, list[str]]]] = {}
+        for i, (f, a, phrase) in enumerate(self.entries):
+            if phrase:
+                self.starting.setdefault(phrase[0], []).append((i, f, a.upper(), phrase))
+
+    def within(self, of: list[str]) -> list[tuple[int, str, str, list[str]]]:
+        """The aliases that may be in a label of these words, in the dictionary's order."""
+        return sorted((e for w in set(of) for e in self.starting.get(w, ())), key=lambda e: e[0])
 
     def mentions(self, label: str) -> dict[str, int]:
         """Each field with an alias in the label, and the place of its last mention."""
         of, out = words(label), {}
-        for f, _, phrase in self.entries:
+        for _, f, _, phrase in self.within(of):
             if (i := word_index(of, phrase)) is not None:
                 out[f] = max(out.get(f, -1), i)
         return out
@@ -81,8 +91,8 @@ class Cells:
         """The field of the alias that is the largest part of a label."""
         text = re.sub(r"^\s*(?:[0-9][0-9A-Z]{0,2}|[A-Z][A-E])\s*[.,]\s*", "", label[:CELL_CHARS].upper()).strip()
         of, top = words(text), None
-        for f, alias, phrase in self.entries if text else ():
-            if alias.upper() in text and word_index(of, phrase) is not None:
+        for _, f, alias, phrase in self.within(of) if text else ():
+            if alias in text and word_index(of, phrase) is not None:
                 score = min(len(alias) / len(text), 1.0)
                 if top is None or score > top[1]:
                     top = (f, score)
@@ -131,12 +141,49 @@ class Cells:
                     top = (*m, label, " ".join(" ".join(lines[b:]).split()))
             return [(f, v, top[1]) for f, v in self.of_pair(top[2], top[3], top[0])] if top else []
         parts = cell.rsplit(maxsplit=1)
-        m = self.best(parts[0]) if len(parts) == 2 else None
+        m = self.best(parts[0]) if len(parts) == 2 and RULED.search(parts[1]) else None  # no rule passes a last word without a digit that is no state
         if not m or typed(self.kinds.get(m[0]), parts[1]) is None or valid(m[0], parts[1]) is not True:
             return []
         return [(m[0], parts[1], m[1])]
 
 
+class Lines:
+    """The best alias of free lines, and what follows it there: rows of (field, vertical, alias) in the order in which ties are decided."""
+
+    MATCH = "struct<field string, vertical string, alias string, score double, value string>"
+
+    def __init__(self, rows: list[tuple[str, str, str]]):
+        self.rows = rows
+        self.cells = Cells([(str(i), a) for i, (_, _, a) in enumerate(rows)], {}, {})
+
+    def match(self, line: str) -> tuple[str, str, str, float, str] | None:
+        of = words(line)
+        found = self.cells.within(of)
+        if not found:
+            return None
+        text, top = line.upper(), None
+        whole = len(text.strip(" "))
+        for _, at, alias, phrase in found:
+            if alias in text and word_index(of, phrase) is not None:
+                score = min(1.0, len(alias) / whole)
+                if top is None or score > top[1]:
+                    top = (int(at), score)
+        if top is None or round(top[1], 6) < MATCH_FLOOR:
+            return None
+        field, vertical, alias = self.rows[top[0]]
+        m = re.search(rf"(?<!\w){re.escape(alias)}(?!\w)", line, re.I | re.A)
+        value = re.sub(r"\A[\s:\-–—\t]+", "", line[m.start() + len(alias) :], flags=re.A).rstrip(" ") if m else ""
+        return (field, vertical, alias, round(top[1], 6), value) if value else None
+
+
+def line_matches(rows: list[tuple[str, str, str]], line: Column) -> Column:
+    """Lines.match() of a column, null where there is none."""
+    of = Lines(rows)
+    names = ["field", "vertical", "alias", "score", "value"]
+    run = lambda s: pd.DataFrame([(of.match(t) if t else None) or (None,) * 5 for t in s], columns=names)
+    return F.pandas_udf(run, Lines.MATCH)(line)
+
+
 def reader(dictionary: DataFrame, literals: dict[str, tuple[str, ...]] = LITERALS) -> Cells:
     """The Cells of a dictionary, which is measured before it is held. Date fields go by data_type where there is one, and by name."""
     ordered = aliases(dictionary).select("vertical", "field", "alias_pos", "alias").orderBy("vertical", "field", "alias_pos")

@@ -223,6 +223,10 @@ def test_block_matches(spark):
     lines = ["Telephone: 555 1", "Telephone", "call our telephone - 555 2", "x " * 400 + "Sex at birth", "nothing", "Sex at birth: F"]
     got = {r["line"]: (r["field"], r["value"]) for r in layout.block_matches(spark.createDataFrame([(x,) for x in lines], "line string"), d).collect()}
     assert got == {"Telephone: 555 1": ("phone", "555 1"), "call our telephone - 555 2": ("phone", "555 2"), "Sex at birth: F": ("sex", "F")}
+    real = layout.lines(table(spark, SF, "documents").select("doc_id", F.lit("text").alias("label"), F.col("text").alias("content")), ["doc_id"])
+    known = table(spark, SF, "alias_dictionary")
+    both = [sorted(map(tuple, layout.block_matches(real, known, held=n).collect()), key=repr) for n in (0, 10_000)]
+    assert both[0] == both[1] and len(both[0]) > 100
 
 
 def test_overlay_seed_and_sweep(spark, rows, tmp_path):
@@ -374,3 +378,17 @@ def test_runs_and_generic_labels(spark, rows):
     d = spark.createDataFrame([("a", "base", ["Name"]), ("b", "base", ["Name of pet"]), ("c", "base", ["Full name", "Chart"])], "canonical_name string, vertical string, aliases array<string>")
     p = spark.createDataFrame([("i", 0, "Name", "x", True), ("i", 0, "Chart", "y", True)], "image string, row_no int, label string, value string, aligned boolean")
     assert {r["label"]: r["generic"] for r in layout.offers(p, d, ["image"]).collect()} == {"Name": True, "Chart": False}
+
+
+def test_packed_documents_are_ranked_where_they_lie(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    docs = [(f"d{i:02}", j, rng.normal(size=4).tolist()) for i in range(40) for j in range(1 + i % 3)]
+    queries = [(f"q{i}", j, rng.normal(size=4).tolist()) for i in range(6) for j in range(1 + i % 2)]
+    v = spark.createDataFrame(docs, "doc_id string, token int, vector array<double>").repartition(5)
+    q = spark.createDataFrame(queries, "query string, token long, vector array<double>")
+    want = {(r["query"], r["rank"]): r["doc"] for r in retrieval.top_k(retrieval.max_sim(v.select(F.col("doc_id").alias("doc"), "vector"), q), 3).collect()}
+    for block in (1, 3, 4096):
+        monkeypatch.setattr(retrieval, "BLOCK", block)
+        assert {(r["query"], r["rank"]): r["doc"] for r in retrieval.nearest_packed(writers.matrices(v), q, 3).collect()} == want
+    m = writers.matrices(v)
+    assert retrieval.nearest_packed(m, q, 0).count() == 0 and retrieval.nearest_packed(m.limit(0), q, 2).count() == 0 and retrieval.nearest_packed(m, q.limit(0), 2).count() == 0
