@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fieldloom.operators import metrics, store
 from fieldloom.operators.retrieval import packed
-from fieldloom.runtime import hadoop
+from fieldloom.runtime import Scratch, hadoop
 
 # Columns of the store's tables.
 DDL = {
@@ -75,7 +75,8 @@ def append_corrections(old: DataFrame, new: DataFrame, runs: DataFrame) -> tuple
     new has the columns of old but correction_id. Ids are given in order of all columns, by ranges of a sort and their sizes, so no task ranks all rows."""
     cols = [c for c in old.columns if c != "correction_id"]
     refused = store.orphans(new, "doc_id", runs, "doc_id").unionByName(new.filter("doc_id is null"))
-    fit = new.join(runs.select("doc_id").distinct(), "doc_id", "left_semi").select(*cols)
+    # written once, as sizes and ranks both read it, and what makes new may be dear
+    fit = Scratch(old.sparkSession, "corrections").write(new.join(runs.select("doc_id").distinct(), "doc_id", "left_semi").select(*cols))
     first = old.agg(F.coalesce(F.max("correction_id"), F.lit(0))).first()[0]
     return old.unionByName(numbered(fit, cols, first).select(*old.columns)), refused
 
