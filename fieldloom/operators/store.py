@@ -47,25 +47,18 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 def violations(tables: dict[str, DataFrame]) -> DataFrame:
     """check, n: for each table how many keys repeat, for each reference how many rows have no parent, and for stages and counts how many rows break the rule.
 
-    A table is scanned and brought together by its key once; all of its checks read that one aggregate, and parents are compared with it rather than with the rows."""
+    A table is brought together by its key for its repeats only; values are counted where they lie, and a reference is checked by the rows' counts a parent, which are summed up where they lie, as rows of one parent mostly do."""
     out = []
     row = lambda name, df, n: df.agg(F.coalesce(n, F.lit(0)).cast("long").alias("n")).select(F.lit(name).alias("check"), "n")
-    keyed = {}
     for name, spec in TABLES.items():
-        if name in tables:
-            checked = name in ("eval_results", "eval_batches")
-            bad = F.coalesce(~F.col("stage").isin("tier1", "cascade") | (F.least("tp", "fp", "fn") < 0), F.lit(True)) if checked else F.lit(False)
-            cols = dict.fromkeys([*spec["key"], *[c for c, _, _ in spec["parents"]]])
-            keyed[name] = tables[name].groupBy(*cols).agg(F.count("*").alias("_n"), F.count_if(bad).alias("_bad"))
-    for name, k in keyed.items():
-        spec = TABLES[name]
-        whole = k if set(k.columns) == {*spec["key"], "_n", "_bad"} else k.groupBy(*spec["key"]).agg(F.sum("_n").alias("_n"), F.sum("_bad").alias("_bad"))
-        out.append(row(f"key {name}", whole.filter("_n > 1"), F.count("*")))
-        for c, t, pc in spec["parents"]:
-            if t in keyed:
-                out.append(row(f"parent {name}.{c}", orphans(k, c, keyed[t], pc), F.sum("_n")))
-        if name in ("eval_results", "eval_batches"):
-            out.append(row(f"values {name}", k, F.sum("_bad")))
+        if name not in tables:
+            continue
+        checked = name in ("eval_results", "eval_batches")
+        bad = F.coalesce(~F.col("stage").isin("tier1", "cascade") | (F.least("tp", "fp", "fn") < 0), F.lit(True)) if checked else F.lit(False)
+        out.append(row(f"key {name}", tables[name].groupBy(*spec["key"]).agg(F.count("*").alias("_n")).filter("_n > 1"), F.count("*")))
+        out += [row(f"parent {name}.{c}", orphans(tables[name].groupBy(c).agg(F.count("*").alias("_n")), c, tables[t], pc), F.sum("_n")) for c, t, pc in spec["parents"] if t in tables]
+        if checked:
+            out.append(row(f"values {name}", tables[name], F.count_if(bad)))
     return functools.reduce(DataFrame.unionByName, out)
 
 
