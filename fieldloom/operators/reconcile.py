@@ -25,20 +25,17 @@ READERS = {"t1": ["1"], "t2": ["2"], "t3": ["3a", "3b"]}
 def by_reader(attempts: DataFrame, values: bool = True) -> DataFrame:
     """doc_id, field_name and, for readers 1, 2 and the strongest as t1, t2 and t3: value, conf, key (what it is compared by), ok (its rule's verdict), tier and read.
 
-    One aggregate in place of three joins; keys and verdicts are made once a reading that counts. Keys are compared by 64-bit hashes, of which two different ones of an item would have to be equal, at 5e-20 a pair. Of several
-    rows of a reader and field one with a value counts, the most confident; among equal ones the one of the larger hash. values: without it a value is its hash too, for what only asks whether there is one and
+    One aggregate in place of three joins; keys and verdicts are made once a reading. Keys are compared by 64-bit hashes, of which two different ones of an item would have to be equal, at 5e-20 a pair. Of several
+    rows of a reader and field one with a value counts, the most confident; among equal ones the larger value. values: without it a value is its hash too, for what only asks whether there is one and
     whether it equals another; about half of the bytes are then shuffled."""
     tiers = [t for ts in READERS.values() for t in ts]
     hashed = lambda c: F.when(c.isNotNull(), F.xxhash64(c))
-    told = lambda v: {"key": hashed(comparable(v)), "ok": verdict(F.col("field_name"), v)}
-    a = attempts.filter(F.col("tier").isin(*tiers)).select("doc_id", "field_name", "tier", "confidence", "value", hashed(F.col("value")).alias("h"))
-    carried = ["value"] if values else ["key", "ok"]  # with the values at hand keys and verdicts needn't travel
-    a = a if values else a.withColumns(told(F.col("value"))).drop("value")
-    mine = F.struct("tier", F.col("h").isNotNull(), "confidence", "h", *carried)
+    a = attempts.filter(F.col("tier").isin(*tiers)).select("doc_id", "field_name", "tier", "confidence", "value", hashed(comparable(F.col("value"))).alias("key"), verdict(F.col("field_name"), F.col("value")).alias("ok"))
+    a = a if values else a.withColumn("value", hashed(F.col("value")))
+    mine = F.struct("tier", F.col("value").isNotNull(), "confidence", "value", "key", "ok")
     g = a.groupBy("doc_id", "field_name").agg(*[F.max(F.when(F.col("tier").isin(*ts), mine)).alias(n) for n, ts in READERS.items()])
-    out = [F.col(f"{n}.{c}").alias(f"{n}_{k}") for n in READERS for c, k in (("value" if values else "h", "value"), ("confidence", "conf"), ("tier", "tier"), *(() if values else (("key", "key"), ("ok", "ok"))))]
-    g = g.select("doc_id", "field_name", *out, *[F.col(n).isNotNull().alias(f"{n}_read") for n in READERS])
-    return g.withColumns({f"{n}_{k}": c for n in READERS for k, c in told(F.col(f"{n}_value")).items()}) if values else g
+    out = [F.col(f"{n}.{c}").alias(f"{n}_{k}") for n in READERS for c, k in (("value", "value"), ("confidence", "conf"), ("key", "key"), ("ok", "ok"), ("tier", "tier"))]
+    return g.select("doc_id", "field_name", *out, *[F.col(n).isNotNull().alias(f"{n}_read") for n in READERS])
 
 
 def route(wide: DataFrame, covered: list[str] | None = None) -> DataFrame:
